@@ -1,0 +1 @@
+"""Streaming forms of the batch jobs (see ``abandonment_stream``)."""
