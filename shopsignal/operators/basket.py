@@ -15,8 +15,8 @@ Plan, built to survive one basket holding a large share of all rows:
    ``collect_set`` deduplicates items map-side and bounds every group by about
    ``2 * block_size`` items, so no task ever holds a whole hot basket.
 3. Pairs are generated inside each bounded group (sorted-array suffix explode
-   for ``lo == hi``, block product for ``lo < hi``): each unordered pair of a
-   basket appears in exactly one group.
+   for ``lo == hi``, block product for ``lo < hi``) in a single generator chain:
+   each unordered pair of a basket appears in exactly one group.
 4. ``groupBy(item_1, item_2).count()`` with map-side partial aggregation.
 
 No rows are dropped or capped; ``min_support`` only filters the final counts
@@ -97,23 +97,17 @@ def basket_pairs(
         F.collect_set(F.when(F.col("_b") == F.col("_lo"), F.col(item))).alias("_l"),
         F.collect_set(F.when(F.col("_b") == F.col("_hi"), F.col(item))).alias("_r"),
     )
-    same = (
-        groups.filter(F.col("_lo") == F.col("_hi"))
-        .select(basket, F.array_sort("_l").alias("_s"))
-        .select(basket, "_s", F.posexplode("_s").alias("_p", "item_1"))
-        .select(
-            basket,
-            "item_1",
-            F.explode(F.slice("_s", F.col("_p") + 2, F.size("_s") - F.col("_p") - 1)).alias("item_2"),
-        )
-    )
-    cross = (
-        groups.filter(F.col("_lo") < F.col("_hi"))
-        .select(basket, F.explode("_l").alias("_a"), "_r")
-        .select(basket, "_a", F.explode("_r").alias("_z"))
+    # One generator chain for both group kinds (no union, so one scan and one
+    # shuffle): a diagonal group pairs each item with the items after it in the
+    # sorted set; an off-diagonal group pairs each left item with every right one.
+    diagonal = F.col("_lo") == F.col("_hi")
+    rest = F.slice("_l", F.col("_p") + 2, F.size("_l") - F.col("_p") - 1)
+    return (
+        groups.select(basket, diagonal.alias("_d"), F.array_sort("_l").alias("_l"), "_r")
+        .select(basket, "_d", "_l", "_r", F.posexplode("_l").alias("_p", "_a"))
+        .select(basket, "_a", F.explode(F.when(F.col("_d"), rest).otherwise(F.col("_r"))).alias("_z"))
         .select(basket, F.least("_a", "_z").alias("item_1"), F.greatest("_a", "_z").alias("item_2"))
     )
-    return same.unionByName(cross)
 
 
 def pair_frequencies(

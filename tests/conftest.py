@@ -1,0 +1,26 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from shopsignal.session import local_session  # noqa: E402
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    return local_session("local[*]", shuffle_partitions=8)
+
+
+def rows(df, *cols):
+    """Sorted list of tuples of the given (or all) columns."""
+    sel = df.select(*cols) if cols else df
+    return sorted((tuple(r) for r in sel.collect()), key=_key)
+
+
+def _key(t):
+    return [(v is None, 0 if v is None else (repr(v) if isinstance(v, (list, dict)) else v)) for v in t]
