@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans.joins import checked_broadcast
+from .plans.layout import spread
 from .schemas import RAW
 
 
@@ -19,7 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_logs_from(events: DataFrame, part: DataFrame) -> DataFrame:
     """The FIXTURES.md mapping as a DataFrame plan (schema ``RAW``)."""
-    b = events.select(
+    b = spread(events).select(
         "event_id",
         "ts",
         "user_id",

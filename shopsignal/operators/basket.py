@@ -3,20 +3,25 @@
 ``frequency(a, b)`` = number of baskets (sessions) that contain both items,
 over purchases only, for every unordered pair with ``item_1 < item_2``.
 
-Plan, built to survive one basket holding a large share of all rows:
-
-1. Basket sizes (an upper bound on distinct items) by a partially-aggregated
-   ``groupBy(basket).count()``.  Baskets above ``block_size`` are "big"; their
-   list is cut from lineage with ``checkpoint()`` and broadcast only after its
-   row count is checked (else joined by shuffle).
+A basket of n items yields n(n-1)/2 pairs, so the output of one basket grows
+quadratically while its input does not: a basket that looks harmless to
+AQE's byte-based skew detection can still emit billions of pairs in one task.
+The plan therefore bounds the pair work of every task explicitly:
+
+1. Basket sizes (an upper bound on distinct items) by a partially aggregated
+   ``groupBy(basket).count()``; baskets above ``block_size`` rows are "big".
+   The common case, no big basket, is known from one count and skips step 2.
 2. Each item of a big basket gets a block ``pmod(xxhash64(item), n_blocks)``
    and is routed to every block pair ``(min(b, j), max(b, j))``; a small basket
-   is the single block pair ``(0, 0)``.  Grouping by ``(basket, lo, hi)`` with
-   ``collect_set`` deduplicates items map-side and bounds every group by about
-   ``2 * block_size`` items, so no task ever holds a whole hot basket.
-3. Pairs are generated inside each bounded group (sorted-array suffix explode
-   for ``lo == hi``, block product for ``lo < hi``) in a single generator chain:
-   each unordered pair of a basket appears in exactly one group.
+   is the single block pair ``(0, 0)``.  The list of big baskets is cut from
+   lineage with ``checkpoint()`` and broadcast only when its row count is
+   within ``max_broadcast_rows``; beyond that it is joined by shuffle.
+3. One shuffle on ``(basket, lo, hi)`` feeds both a Tungsten distinct (repeat
+   purchases) and an equi self-join on ``(basket, lo, hi)`` that reuses the
+   same exchange: a diagonal group pairs items with ``a < z``, an off-diagonal
+   group pairs block ``lo`` with block ``hi``.  Every group holds about
+   ``2 * block_size`` items at most, and each unordered pair of a basket is
+   produced by exactly one group.
 4. ``groupBy(item_1, item_2).count()`` with map-side partial aggregation.
 
 No rows are dropped or capped; ``min_support`` only filters the final counts
@@ -28,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS
 from ..session import ensure_checkpoint_dir
 
 DEFAULT_BLOCK_SIZE = 1024
@@ -49,31 +54,25 @@ def session_baskets(items: DataFrame, basket: str = "session_id", item: str = "p
     return distinct_items.groupBy(basket).agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
-def _blocked_items(
-    items: DataFrame, basket: str, item: str, block_size: int, max_broadcast_rows: int | None
-) -> tuple[DataFrame, bool]:
+def _blocked_items(items: DataFrame, basket: str, item: str, block_size: int,
+                   max_broadcast_rows: int | None) -> DataFrame | None:
+    """``(basket, item, _b, _lo, _hi)``: items routed to block pairs; None if no basket is big."""
     sizes = items.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.filter(F.col("_n") > block_size).select(
         basket, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nblk")
     )
+    if big.count() == 0:
+        return None
     ensure_checkpoint_dir(items.sparkSession)
     big = big.checkpoint(eager=True)
-    big_side = checked_broadcast(big, max_broadcast_rows)
-    broadcasted = big_side is not big
+    fits = max_broadcast_rows is not None and big.count() <= max_broadcast_rows
     nblk = F.coalesce(F.col("_nblk"), F.lit(1))
     blk = F.pmod(F.xxhash64(F.col(item)), nblk).cast("int")
-    tagged = (
-        items.join(big_side, basket, "left")
+    return (
+        items.join(F.broadcast(big) if fits else big, basket, "left")
         .select(basket, item, blk.alias("_b"), F.explode(F.sequence(F.lit(0), nblk - 1)).alias("_j"))
-        .select(
-            basket,
-            item,
-            "_b",
-            F.least("_b", "_j").alias("_lo"),
-            F.greatest("_b", "_j").alias("_hi"),
-        )
+        .select(basket, item, "_b", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi"))
     )
-    return tagged, broadcasted
 
 
 def basket_pairs(
@@ -88,25 +87,25 @@ def basket_pairs(
     Rows with a null basket or item take no part.
     """
     base = items.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-    tagged, broadcasted = _blocked_items(base, basket, item, block_size, max_broadcast_rows)
-    if not broadcasted:
-        # The shuffle join left rows hash-partitioned by basket only; force the
-        # block key so a hot basket is spread before grouping.
-        tagged = tagged.repartition(basket, "_lo", "_hi")
-    groups = tagged.groupBy(basket, "_lo", "_hi").agg(
-        F.collect_set(F.when(F.col("_b") == F.col("_lo"), F.col(item))).alias("_l"),
-        F.collect_set(F.when(F.col("_b") == F.col("_hi"), F.col(item))).alias("_r"),
-    )
-    # One generator chain for both group kinds (no union, so one scan and one
-    # shuffle): a diagonal group pairs each item with the items after it in the
-    # sorted set; an off-diagonal group pairs each left item with every right one.
-    diagonal = F.col("_lo") == F.col("_hi")
-    rest = F.slice("_l", F.col("_p") + 2, F.size("_l") - F.col("_p") - 1)
-    return (
-        groups.select(basket, diagonal.alias("_d"), F.array_sort("_l").alias("_l"), "_r")
-        .select(basket, "_d", "_l", "_r", F.posexplode("_l").alias("_p", "_a"))
-        .select(basket, "_a", F.explode(F.when(F.col("_d"), rest).otherwise(F.col("_r"))).alias("_z"))
-        .select(basket, F.least("_a", "_z").alias("item_1"), F.greatest("_a", "_z").alias("item_2"))
+    tagged = _blocked_items(base, basket, item, block_size, max_broadcast_rows)
+    if tagged is None:  # every basket fits one block: the block key is the basket
+        keys, tagged = [basket], base
+        pair_ok = F.col("_a") < F.col("_z")
+        extra_a, extra_z = [], []
+    else:
+        keys = [basket, "_lo", "_hi"]
+        diagonal = (F.col("_lo") == F.col("_hi")) & (F.col("_a") < F.col("_z"))
+        across = (F.col("_lo") < F.col("_hi")) & (F.col("_ab") == F.col("_lo")) & (F.col("_zb") == F.col("_hi"))
+        pair_ok = diagonal | across
+        extra_a, extra_z = [F.col("_b").alias("_ab")], [F.col("_b").alias("_zb")]
+    # One explicit shuffle on the block key: it spreads a big basket over its
+    # block pairs, and the distinct and both sides of the self-join reuse it
+    # (sort-merge: a broadcast side would recompute the input).
+    blocks = tagged.repartition(*keys).dropDuplicates([*keys, item])
+    a = blocks.select(*keys, *extra_a, F.col(item).alias("_a"))
+    z = blocks.select(*keys, *extra_z, F.col(item).alias("_z"))
+    return a.join(z.hint("merge"), keys).where(pair_ok).select(
+        basket, F.least("_a", "_z").alias("item_1"), F.greatest("_a", "_z").alias("item_2")
     )
 
 

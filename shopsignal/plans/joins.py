@@ -10,18 +10,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Rows a side may have and still be broadcast.  Sides we broadcast are narrow
 # (2-3 short columns), so 2M rows stay well under ~100 MB per executor.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
-def checked_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def checked_broadcast(
+    df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, materialize: bool = False
+) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
-    The count is one distributed aggregate over ``df`` (partial counts per task,
-    no rows move), so callers should pass an already-reduced, narrow side.
+    The count is one distributed aggregate (partial counts per task, no rows
+    move).  With ``materialize`` the side is first written to the shared
+    checkpoint folder (``checkpoint()``), so an expensive side is computed
+    once for both the count and the join, and its lineage is cut.
     """
     if max_rows is None or max_rows <= 0:
         return df
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    return F.broadcast(df) if df.count() <= max_rows else df

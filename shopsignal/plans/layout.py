@@ -28,3 +28,15 @@ def partition_sizes(df: DataFrame) -> DataFrame:
         df.groupBy(F.spark_partition_id().alias("partition"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` only when its scan has fewer splits than the cluster has cores.
+
+    Under-split inputs (one unsplittable file, a multi-line CSV, a single
+    Parquet row group) would otherwise run all per-row parsing in a few tasks.
+    Inputs that already have enough splits, as at scale, are returned as is,
+    so this never adds a shuffle to a large scan.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
