@@ -1 +1,3 @@
-"""Streaming forms of the batch jobs (see ``abandonment_stream``)."""
+"""Streaming forms of the batch jobs (see ``abandonment``)."""
+
+from .abandonment import abandoned_sessions_stream, campaign_stream  # noqa: F401

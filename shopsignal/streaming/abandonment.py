@@ -1,0 +1,78 @@
+"""Structured Streaming form of session-level abandonment and the campaign.
+
+The batch job keeps a cart row when its session has no purchase at all.  A
+stream cannot wait for "never", so here a cart is abandoned when its session
+has no purchase within ``[cart - lookback, cart + horizon]`` (event time).
+With a window covering whole sessions the result equals the batch job.
+
+Plan: watermarked cart and purchase streams, a stream-stream LEFT OUTER join
+on ``session_id`` (plus a salt) with the time-range condition; rows whose
+purchase side is null are the abandoned carts, emitted once the watermark
+passes ``cart + horizon``.  Join state is bounded by the watermark, not by a
+key.  Streaming runs without AQE, so a hot session is split explicitly: each
+cart goes to one of ``salts`` buckets (by ``event_id`` hash, deterministic for
+replay) and each purchase is copied to every bucket.
+
+The event-type filters run below the watermark (Spark pushes them through it),
+so event time advances with cart and purchase rows only.
+
+``campaign_stream`` adds the offer with a stream-static join on the profile
+table, exactly as the batch campaign.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.arrays import category_list
+from ..functions.scoring import offer_label
+from ..schemas import CART, MARKETING_ACTION, PURCHASE
+
+
+def abandoned_sessions_stream(
+    clean_stream: DataFrame,
+    horizon: str = "1 hour",
+    lookback: str = "1 hour",
+    watermark: str = "1 hour",
+    salts: int = 8,
+) -> DataFrame:
+    """Cart rows without a purchase of the same session within the time range (append mode)."""
+    # Watermarks need TIMESTAMP (LTZ); the logs carry wall-clock NTZ times.
+    logs = clean_stream.withColumn("_et", F.col("timestamp").cast("timestamp")).withWatermark("_et", watermark)
+    carts = logs.filter(F.col("event_type") == CART).withColumn(
+        "_salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int")
+    )
+    buys = (
+        logs.filter(F.col("event_type") == PURCHASE)
+        .select(F.col("session_id").alias("_p_session"), F.col("_et").alias("_p_ts"))
+        .withColumn("_p_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    )
+    cond = (
+        (carts["session_id"] == buys["_p_session"])
+        & (carts["_salt"] == buys["_p_salt"])
+        & (buys["_p_ts"] >= carts["_et"] - F.expr(f"interval {lookback}"))
+        & (buys["_p_ts"] <= carts["_et"] + F.expr(f"interval {horizon}"))
+    )
+    joined = carts.join(buys, cond, "leftOuter")
+    return joined.filter(F.col("_p_session").isNull()).drop("_et", "_salt", "_p_session", "_p_ts", "_p_salt")
+
+
+def campaign_stream(
+    clean_stream: DataFrame,
+    profiles: DataFrame,
+    top_k: int | None = None,
+    **window: str | int,
+) -> DataFrame:
+    """Abandoned carts from the stream, each with the batch campaign's offer.
+
+    ``profiles`` is a static table (e.g. the published profile store).
+    """
+    lists = profiles.select("user_id", category_list("top_categories", top_k).alias("top_categories_list"))
+    abandoned = abandoned_sessions_stream(clean_stream, **window)
+    return (
+        abandoned.join(lists, on="user_id", how="left")
+        .withColumn("marketing_action", F.lit(MARKETING_ACTION))
+        .withColumn("discount_offer", offer_label("top_categories_list", "category"))
+        .drop("top_categories_list")
+    )

@@ -1,0 +1,22 @@
+from conftest import SF_SMALL
+
+from shopsignal import fixtures
+from shopsignal.plans import phases
+from shopsignal.session import scratch_path
+
+
+def test_quality_report_one_row(spark):
+    r = phases.quality_report(fixtures.raw_logs(spark, SF_SMALL)).first()
+    assert (r.n_rows, r.clean_rows, r.dropped_rows) == (1000, 732, 268)
+    assert (r.views, r.carts, r.purchases) == (142, 155, 153)
+    assert r.reconciles is False and "view" in r.event_types
+
+
+def test_run_all_end_to_end(spark):
+    out = scratch_path(spark, "run")
+    p = phases.run_all(fixtures.raw_logs(spark, SF_SMALL), out, n_partitions=4)
+    offers = {r.discount_offer: r.n for r in spark.read.json(p["reports/offer_counts"]).collect()}
+    assert offers == {"High_Discount": 15}
+    assert spark.read.text(p["reports/row_count"]).first().value == "Total rows: 732"
+    assert spark.read.parquet(p["campaign"]).count() == 15
+    assert spark.read.parquet(f"{p['store']}/by_item").count() > 0

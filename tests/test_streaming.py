@@ -1,0 +1,51 @@
+import datetime as dt
+
+from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
+
+from shopsignal import fixtures
+from shopsignal.operators import abandonment, affinity, campaign, clean
+from shopsignal.schemas import CLEAN
+from shopsignal.session import scratch_path
+from shopsignal.streaming import abandoned_sessions_stream, campaign_stream
+
+WEEK = dict(horizon="8 days", lookback="8 days", watermark="8 days")
+
+
+def _stream_of_clean(spark):
+    """The cleaned fixture as a file stream arriving in event-time order (one file per week),
+    followed by a later heartbeat row that moves the watermark past the last carts."""
+    c = clean.clean_logs(fixtures.raw_logs(spark, SF_SMALL))
+    src = scratch_path(spark, "stream_src")
+    week = F.floor(F.datediff(F.col("timestamp").cast("date"), F.lit("2024-01-01").cast("date")) / 7)
+    for w in range(6):
+        c.filter(week == w).coalesce(1).write.mode("append").parquet(src)
+    # Only cart/purchase rows feed the watermark (the type filters run below it),
+    # so the heartbeat is a far-future cart of its own session; it is never emitted.
+    beat = c.limit(1).withColumn("event_type", F.lit("cart")).withColumn("session_id", F.lit("HEARTBEAT")) \
+        .withColumn("timestamp", F.lit(dt.datetime(2024, 6, 1)).cast("timestamp_ntz"))
+    beat.withColumn("event_id", F.lit(-1).cast("long")).write.mode("append").parquet(src)  # raises the watermark
+    beat.withColumn("event_id", F.lit(-2).cast("long")).write.mode("append").parquet(src)  # next batch applies it
+    return c, spark.readStream.schema(CLEAN).option("maxFilesPerTrigger", 1).parquet(src)
+
+
+def _run(spark, df, name):
+    out, ck = scratch_path(spark, name), scratch_path(spark, name + "_ck")
+    q = df.writeStream.format("parquet").option("checkpointLocation", ck).outputMode("append") \
+        .trigger(availableNow=True).start(out)
+    q.awaitTermination(300)
+    return spark.read.schema(df.schema).parquet(out)
+
+
+def test_stream_abandonment_equals_batch_with_whole_session_window(spark):
+    c, stream = _stream_of_clean(spark)
+    got = _run(spark, abandoned_sessions_stream(stream, salts=3, **WEEK), "ab")
+    assert rows(got, "event_id") == rows(abandonment.abandoned_sessions(c), "event_id")
+
+
+def test_campaign_stream_matches_batch(spark):
+    c, stream = _stream_of_clean(spark)
+    profiles = affinity.ranked_categories(affinity.affinity_scores(c))
+    got = _run(spark, campaign_stream(stream, profiles, **WEEK), "cmp")
+    want = campaign.campaign(c, profiles=profiles)
+    assert rows(got, "event_id", "discount_offer") == rows(want, "event_id", "discount_offer")
