@@ -95,7 +95,28 @@ def main() -> None:
         total = v.count() + ca.count() + p.count()
         (v.count(), ca.count(), p.count(), total == c.count())
 
+    def three_downstream(logs):  # campaign, affinity, item-level abandonment from the same cleaned logs
+        for df in (campaign.campaign(logs), affinity.affinity_scores(logs), abandonment.abandoned_items(logs)):
+            run_noop(df)
+
+    def uncached():
+        three_downstream(clean.clean_logs(fixtures.raw_logs(spark, SF_DIR)))
+
+    def cached():
+        logs = clean.clean_logs(fixtures.raw_logs(spark, SF_DIR)).cache()
+        try:
+            three_downstream(logs)
+        finally:
+            logs.unpersist()
+
+    def written():
+        path = files.write_parquet(clean.clean_logs(fixtures.raw_logs(spark, SF_DIR)), scratch_path(spark, "bw"))
+        three_downstream(files.read_clean_parquet(spark, path))
+
     comparisons = {
+        "three_jobs_clean_uncached": timed(uncached),
+        "three_jobs_clean_cached": timed(cached),
+        "three_jobs_clean_written_parquet": timed(written),
         "market_basket_pairs_rdd_shape": timed(lambda: rdd_shape_pairs(basket.purchase_items(c)).count()),
         "lineitem_basket_pairs_rdd_shape": timed(lambda: rdd_shape_pairs(lineitem).count()),
         "event_counts_one_job_per_count": timed(seven_counts),

@@ -306,6 +306,18 @@ def q_store_by_item(spark, sf):
     return store.item_index(_profiles(spark, sf))
 
 
+def q_quality_report(spark, sf):
+    from .plans.phases import quality_report
+
+    return quality_report(_raw(spark, sf)).withColumn("event_types", F.array_join("event_types", "|"))
+
+
+def q_users_by_category_indexed(spark, sf):
+    paths = store.publish_profiles(_profiles(spark, sf), scratch_path(spark, "store_idx"))
+    by_category = store.read_store(spark, paths["by_category"].rsplit("/", 1)[0], "by_category")
+    return store.users_by_category_indexed(by_category, LOOKUP_CATEGORY, 3)
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv_logs": q_scan_csv_logs,
     "scan_parquet_logs": q_scan_parquet_logs,
@@ -360,6 +372,8 @@ QUERIES: dict[str, Query] = {
     "users_by_item_empty": q_users_by_item_empty,
     "store_by_category": q_store_by_category,
     "store_by_item": q_store_by_item,
+    "quality_report": q_quality_report,
+    "users_by_category_indexed": q_users_by_category_indexed,
 }
 
 
@@ -432,7 +446,12 @@ def _campaign_sql(current: str, history: str, top_k: int | None) -> str:
     )
 
 
-_RAW_COLS = ", ".join('"timestamp"' if f.name == "timestamp" else f.name for f in RAW.fields)
+def _dq(name: str) -> str:
+    """Column name as DuckDB SQL (``timestamp`` is a keyword there)."""
+    return f'"{name}"' if name == "timestamp" else name
+
+
+_RAW_COLS = ", ".join(_dq(f.name) for f in RAW.fields)
 _CAMPAIGN = _campaign_sql("true", "true", None)
 _ALL = "true"
 _SPLIT = f"\"timestamp\" >= timestamp '{HISTORY_SPLIT}'"
@@ -457,11 +476,7 @@ ORACLE: dict[str, str] = {
     "raw_shape": _with() + f"select count(*) n_rows, {len(RAW.fields)} n_columns from raw",
     "null_counts": _with()
     + "select "
-    + ", ".join(
-        f"count(*) - count({'\"timestamp\"' if f.name == 'timestamp' else f.name}) "
-        f"{'\"timestamp\"' if f.name == 'timestamp' else f.name}"
-        for f in RAW.fields
-    )
+    + ", ".join(f"count(*) - count({_dq(f.name)}) {_dq(f.name)}" for f in RAW.fields)
     + " from raw",
     "dropped_rows": _with()
     + "select r.n raw_rows, c.n clean_rows, r.n - c.n dropped_rows from (select count(*) n from raw) r, "
@@ -524,6 +539,17 @@ ORACLE: dict[str, str] = {
     f"'{LOOKUP_ITEM_MISSING}') order by user_id limit 5",
     "store_by_category": _with(_AFFINITY, _RANKED)
     + "select category, pos rank, user_id, total_score score from ranked",
+    "quality_report": _with()
+    + "select r.*, c.clean_rows, r.n_rows - c.clean_rows dropped_rows, c.views, c.carts, c.purchases, "
+    "c.event_types, c.views + c.carts + c.purchases = c.clean_rows reconciles from (select count(*) n_rows, "
+    + f"{len(RAW.fields)} n_columns, "
+    + ", ".join(f"count(*) - count({_dq(f.name)}) null_{f.name}" for f in RAW.fields)
+    + " from raw) r, (select count(*) clean_rows, count(*) filter (where event_type = 'view') views, "
+    "count(*) filter (where event_type = 'cart') carts, count(*) filter (where event_type = 'purchase') purchases, "
+    "string_agg(distinct event_type, '|' order by event_type) event_types from clean) c",
+    "users_by_category_indexed": _with(_AFFINITY)
+    + f"select user_id, total_score score from affinity where category = '{LOOKUP_CATEGORY}' "
+    "order by score desc nulls last, user_id limit 3",
     "store_by_item": _with(*_PROFILE_CTES)
     + "select distinct u.item, p.user_id from profiles p, unnest(string_split(p.recommended_pairs, '|')) u(item) "
     "where p.recommended_pairs <> ''",
