@@ -8,17 +8,19 @@ quadratically while its input does not: a basket that looks harmless to
 AQE's byte-based skew detection can still emit billions of pairs in one task.
 The plan therefore bounds the pair work of every task explicitly:
 
-1. Basket sizes (an upper bound on distinct items) by a partially aggregated
-   ``groupBy(basket).count()``; baskets above ``block_size`` rows are "big".
-   The common case, no big basket, is known from one count and skips step 2.
-2. Each item of a big basket gets a block ``pmod(xxhash64(item), n_blocks)``
+1. Basket sizes by a partially aggregated ``groupBy(basket).count()`` on raw
+   rows (an upper bound of distinct items).  The common case, no basket above
+   ``block_size`` rows, is known from that one count and skips step 2.
+2. Otherwise items are deduplicated first (so repeat purchases are never
+   fanned out) and exact distinct counts pick the big baskets.  Each item of a
+   big basket gets a block ``pmod(xxhash64(item), n_blocks)``
    and is routed to every block pair ``(min(b, j), max(b, j))``; a small basket
    is the single block pair ``(0, 0)``.  The list of big baskets is cut from
    lineage with ``checkpoint()`` and broadcast only when its row count is
    within ``max_broadcast_rows``; beyond that it is joined by shuffle.
-3. One shuffle on ``(basket, lo, hi)`` feeds both a Tungsten distinct (repeat
-   purchases) and an equi self-join on ``(basket, lo, hi)`` that reuses the
-   same exchange: a diagonal group pairs items with ``a < z``, an off-diagonal
+3. One shuffle on ``(basket, lo, hi)`` feeds an equi self-join on
+   ``(basket, lo, hi)`` whose two sides reuse the same exchange (in the common
+   case the key is the basket and the same shuffle also deduplicates): a diagonal group pairs items with ``a < z``, an off-diagonal
    group pairs block ``lo`` with block ``hi``.  Every group holds about
    ``2 * block_size`` items at most, and each unordered pair of a basket is
    produced by exactly one group.
@@ -44,35 +46,73 @@ def purchase_items(clean: DataFrame, basket: str = "session_id", item: str = "pr
     return clean.filter(F.col("event_type") == "purchase").select(basket, item)
 
 
-def session_baskets(items: DataFrame, basket: str = "session_id", item: str = "product_id") -> DataFrame:
-    """The sorted distinct item set per basket as ``(basket, items)``.
+def _big_baskets(distinct_items: DataFrame, basket: str, block_size: int) -> DataFrame | None:
+    """``(basket, _nblk)`` for baskets with more than ``block_size`` distinct items, checkpointed; None if none."""
+    sizes = distinct_items.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
+    big = sizes.filter(F.col("_n") > block_size).select(
+        basket, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nblk")
+    )
+    ensure_checkpoint_dir(distinct_items.sparkSession)
+    big = big.checkpoint(eager=True)
+    return big if big.count() > 0 else None
+
+
+def _any_basket_over(items: DataFrame, basket: str, block_size: int) -> bool:
+    """Cheap pre-check on raw rows (an upper bound of distinct items per basket)."""
+    sizes = items.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
+    return sizes.filter(F.col("_n") > block_size).count() > 0
+
 
-    Deduplication runs first on ``(basket, item)``, which spreads a hot basket
-    over many tasks; the final per-basket array holds distinct items only.
+def _with_blocks(distinct_items: DataFrame, big: DataFrame, basket: str, item: str,
+                 max_broadcast_rows: int | None) -> DataFrame:
+    """Append ``_nblk`` and the item's block ``_b = pmod(xxhash64(item), _nblk)`` (1 block for small baskets)."""
+    fits = max_broadcast_rows is not None and big.count() <= max_broadcast_rows
+    nblk = F.coalesce(F.col("_nblk"), F.lit(1))
+    return distinct_items.join(F.broadcast(big) if fits else big, basket, "left").select(
+        basket, item, nblk.alias("_nblk"), F.pmod(F.xxhash64(F.col(item)), nblk).cast("int").alias("_b")
+    )
+
+
+def session_baskets(
+    items: DataFrame,
+    basket: str = "session_id",
+    item: str = "product_id",
+    max_items: int = DEFAULT_BLOCK_SIZE,
+    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """The distinct item set per basket as ``(basket, chunk, items)``, items sorted.
+
+    A basket of at most ``max_items`` distinct items is one row (``chunk`` 0).
+    A bigger one is split into about ``n / max_items`` rows by item hash, so no
+    task or row ever holds a whole hot basket; the chunks together are its set.
     """
     distinct_items = items.select(basket, item).where(F.col(item).isNotNull()).distinct()
-    return distinct_items.groupBy(basket).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    big = _big_baskets(distinct_items, basket, max_items) if _any_basket_over(items, basket, max_items) else None
+    if big is None:
+        chunked = distinct_items.withColumn("chunk", F.lit(0))
+    else:
+        chunked = _with_blocks(distinct_items, big, basket, item, max_broadcast_rows).withColumnRenamed("_b", "chunk")
+    return chunked.groupBy(basket, "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
 def _blocked_items(items: DataFrame, basket: str, item: str, block_size: int,
                    max_broadcast_rows: int | None) -> DataFrame | None:
-    """``(basket, item, _b, _lo, _hi)``: items routed to block pairs; None if no basket is big."""
-    sizes = items.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.filter(F.col("_n") > block_size).select(
-        basket, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nblk")
-    )
-    if big.count() == 0:
+    """Distinct ``(basket, item, _b, _lo, _hi)`` routed to block pairs; None if no basket is big.
+
+    Sizes are first bounded by raw rows (cheap, no dedup).  Only when some
+    basket may be big are items deduplicated, so that blocks come from exact
+    distinct counts and repeat purchases are never fanned out.
+    """
+    if not _any_basket_over(items, basket, block_size):
         return None
-    ensure_checkpoint_dir(items.sparkSession)
-    big = big.checkpoint(eager=True)
-    fits = max_broadcast_rows is not None and big.count() <= max_broadcast_rows
-    nblk = F.coalesce(F.col("_nblk"), F.lit(1))
-    blk = F.pmod(F.xxhash64(F.col(item)), nblk).cast("int")
-    return (
-        items.join(F.broadcast(big) if fits else big, basket, "left")
-        .select(basket, item, blk.alias("_b"), F.explode(F.sequence(F.lit(0), nblk - 1)).alias("_j"))
-        .select(basket, item, "_b", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi"))
-    )
+    distinct_items = items.dropDuplicates([basket, item])
+    big = _big_baskets(distinct_items, basket, block_size)
+    if big is None:
+        return None
+    blocked = _with_blocks(distinct_items, big, basket, item, max_broadcast_rows)
+    return blocked.select(
+        basket, item, "_b", F.explode(F.sequence(F.lit(0), F.col("_nblk") - 1)).alias("_j")
+    ).select(basket, item, "_b", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi"))
 
 
 def basket_pairs(
@@ -89,7 +129,10 @@ def basket_pairs(
     base = items.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
     tagged = _blocked_items(base, basket, item, block_size, max_broadcast_rows)
     if tagged is None:  # every basket fits one block: the block key is the basket
-        keys, tagged = [basket], base
+        keys = [basket]
+        # One explicit shuffle on the basket feeds the distinct and both sides
+        # of the self-join (sort-merge: a broadcast side would recompute it).
+        blocks = base.repartition(basket).dropDuplicates([basket, item])
         pair_ok = F.col("_a") < F.col("_z")
         extra_a, extra_z = [], []
     else:
@@ -98,10 +141,9 @@ def basket_pairs(
         across = (F.col("_lo") < F.col("_hi")) & (F.col("_ab") == F.col("_lo")) & (F.col("_zb") == F.col("_hi"))
         pair_ok = diagonal | across
         extra_a, extra_z = [F.col("_b").alias("_ab")], [F.col("_b").alias("_zb")]
-    # One explicit shuffle on the block key: it spreads a big basket over its
-    # block pairs, and the distinct and both sides of the self-join reuse it
-    # (sort-merge: a broadcast side would recompute the input).
-    blocks = tagged.repartition(*keys).dropDuplicates([*keys, item])
+        # Items are distinct already; the shuffle on the block key spreads a
+        # big basket over its block pairs and serves both join sides.
+        blocks = tagged.repartition(*keys)
     a = blocks.select(*keys, *extra_a, F.col(item).alias("_a"))
     z = blocks.select(*keys, *extra_z, F.col(item).alias("_z"))
     return a.join(z.hint("merge"), keys).where(pair_ok).select(

@@ -175,7 +175,7 @@ def q_partition_sizes(spark, sf):
 
 def q_session_baskets(spark, sf):
     b = basket.session_baskets(basket.purchase_items(_clean(spark, sf)))
-    return b.select("session_id", F.array_join("items", "|").alias("items"))
+    return b.select("session_id", "chunk", F.array_join("items", "|").alias("items"))
 
 
 def q_basket_pairs(spark, sf):
@@ -491,7 +491,8 @@ ORACLE: dict[str, str] = {
     "abandoned_count": _with(_ABANDONED_ITEMS) + "select count(*) abandoned from ab_items",
     "partition_sizes": _with() + "select true n_partitions_le_8, count(*) total_rows from clean",
     "session_baskets": _with(_PURCHASE_ITEMS)
-    + "select session_id, string_agg(product_id, '|' order by product_id) items from pitems group by session_id",
+    + "select session_id, 0 chunk, string_agg(product_id, '|' order by product_id) items from pitems "
+    "group by session_id",
     "basket_pairs": _with(_PURCHASE_ITEMS, _BASKET_PAIRS) + "select * from bpairs",
     "market_basket_pairs": _with(_PURCHASE_ITEMS, _BASKET_PAIRS, _PAIRS) + "select * from pairs",
     "top10_pairs": _with(_PURCHASE_ITEMS, _BASKET_PAIRS, _PAIRS)

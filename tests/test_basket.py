@@ -83,8 +83,26 @@ def test_min_support_and_top(spark):
 
 def test_session_baskets_sorted_distinct(spark):
     df = spark.createDataFrame([("a", "Y"), ("a", "X"), ("a", "Y"), ("b", "Z")], "session_id string, product_id string")
-    got = {r.session_id: r["items"] for r in basket.session_baskets(df).collect()}
-    assert got == {"a": ["X", "Y"], "b": ["Z"]}
+    got = {r.session_id: (r.chunk, r["items"]) for r in basket.session_baskets(df).collect()}
+    assert got == {"a": (0, ["X", "Y"]), "b": (0, ["Z"])}
+
+
+def test_session_baskets_split_big_basket_into_bounded_chunks(spark):
+    items = [("HOT", f"I{i % 50}") for i in range(400)] + [("s", "A"), ("s", "B")]
+    df = spark.createDataFrame(items, "session_id string, product_id string")
+    out = basket.session_baskets(df, max_items=8).collect()
+    hot = [r for r in out if r.session_id == "HOT"]
+    assert len(hot) > 1 and all(r["items"] == sorted(r["items"]) for r in hot)
+    assert sorted(i for r in hot for i in r["items"]) == sorted({i for _, i in items[:400]})
+    assert [r["items"] for r in out if r.session_id == "s"] == [["A", "B"]]
+
+
+def test_repeat_heavy_basket_is_not_fanned_out(spark):
+    # 5,000 rows but 3 distinct items: raw size says "big", exact distinct size says one block
+    items = [("BOT", f"I{i % 3}") for i in range(5000)] + [("s", "I0"), ("s", "I9")]
+    df = spark.createDataFrame(items, "session_id string, product_id string")
+    assert basket._blocked_items(df, "session_id", "product_id", 100, 10**6) is None
+    assert rows(basket.pair_frequencies(df, block_size=100)) == brute_pairs(items)
 
 
 def test_invariants_on_fixture(spark):
