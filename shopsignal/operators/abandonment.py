@@ -9,28 +9,40 @@ from ..schemas import CART, PURCHASE
 
 ITEM_KEYS = ["user_id", "session_id", "product_id"]
 
+# Build-side rows kept per key at most (see ``_existing_keys``).
+KEY_BUCKETS = 32
+
 
 def purchase_sessions(clean: DataFrame) -> DataFrame:
     """Distinct sessions with at least one purchase."""
     return clean.filter(F.col("event_type") == PURCHASE).select("session_id").distinct()
 
 
-def abandoned_items(clean: DataFrame) -> DataFrame:
-    """Cart rows whose (user, session, product) was never purchased; keys first.
+def _existing_keys(purchases: DataFrame, keys: list[str], buckets: int = KEY_BUCKETS) -> DataFrame:
+    """The purchase side of an anti join: each key at most ``buckets`` times.
 
-    The purchase side is reduced to distinct keys (map-side), which shares the
-    join's shuffle on the three keys, so a hot key has one row on that side.
+    Deduplicating on ``(keys, bucket)`` (bucket = a hash of the row's time, so
+    replays are deterministic) collapses a hot key map-side to ``buckets``
+    rows, and because that aggregate is partitioned on more columns than the
+    join keys, the join gets its own shuffle directly under its sort.  That is
+    the shape AQE's skew-join rule needs to split a hot key on the cart side; a
+    plain ``distinct`` on the keys would feed the join without a shuffle and
+    leave a hot key in one task.  AQE may still turn the join into a broadcast
+    from the measured size of this side.
     """
+    bucket = F.pmod(F.xxhash64(F.col("timestamp")), F.lit(buckets))
+    return purchases.select(*keys, bucket.alias("_bucket")).distinct().select(*keys)
+
+
+def abandoned_items(clean: DataFrame) -> DataFrame:
+    """Cart rows whose (user, session, product) was never purchased; keys first."""
     carts = clean.filter(F.col("event_type") == CART)
-    bought = clean.filter(F.col("event_type") == PURCHASE).select(*ITEM_KEYS).distinct()
+    bought = _existing_keys(clean.filter(F.col("event_type") == PURCHASE), ITEM_KEYS)
     return carts.join(bought, on=ITEM_KEYS, how="left_anti")
 
 
 def abandoned_sessions(clean: DataFrame) -> DataFrame:
-    """Cart rows of sessions without any purchase; ``session_id`` first.
-
-    Anti join against distinct purchase sessions: the ``distinct`` aggregates
-    map-side and its shuffle on ``session_id`` is the join's shuffle.
-    """
+    """Cart rows of sessions without any purchase; ``session_id`` first."""
     carts = clean.filter(F.col("event_type") == CART)
-    return carts.join(purchase_sessions(clean), on="session_id", how="left_anti")
+    sessions = _existing_keys(clean.filter(F.col("event_type") == PURCHASE), ["session_id"])
+    return carts.join(sessions, on="session_id", how="left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import category_list
 from ..functions.scoring import offer_label
+from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, build_side
 from ..schemas import MARKETING_ACTION
 from .abandonment import abandoned_sessions
 from .affinity import affinity_scores, ranked_categories
@@ -22,6 +23,7 @@ def campaign(
     history: DataFrame | None = None,
     profiles: DataFrame | None = None,
     top_k: int | None = None,
+    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Abandoned carts (session level) of ``current`` logs with an offer each.
 
@@ -33,7 +35,10 @@ def campaign(
     if profiles is None:
         profiles = ranked_categories(affinity_scores(history if history is not None else current))
     abandoned = abandoned_sessions(current)
-    joined = abandoned.join(category_lists(profiles, top_k), on="user_id", how="left")
+    lists = category_lists(profiles, top_k)
+    if _ends_in_aggregate(lists):
+        lists = build_side(lists, max_broadcast_rows)  # one row per user; a hot user may own many carts
+    joined = abandoned.join(lists, on="user_id", how="left")
     return (
         joined.withColumn("marketing_action", F.lit(MARKETING_ACTION))
         .withColumn("discount_offer", offer_label("top_categories_list", "category"))
@@ -41,6 +46,11 @@ def campaign(
     )
 
 
+def _ends_in_aggregate(df: DataFrame) -> bool:
+    """True when the plan computes rows by aggregation (profiles ranked from logs), not by a scan."""
+    return "Aggregate" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def offer_counts(campaign_df: DataFrame) -> DataFrame:
     """Rows per ``discount_offer``."""
     return campaign_df.groupBy("discount_offer").agg(F.count(F.lit(1)).alias("n"))

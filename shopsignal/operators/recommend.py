@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import empty_string_array, first_category
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, build_side
 from ..schemas import PAIRS_PER_CATEGORY
 
 
@@ -23,7 +23,7 @@ def pairs_with_category(
     The map is catalogue-sized; it is broadcast only after its row count is
     checked, else both sides shuffle on ``item_1`` (AQE splits a hot item).
     """
-    return pairs.join(checked_broadcast(category_map, max_broadcast_rows, materialize=True), "item_1")
+    return pairs.join(build_side(category_map, max_broadcast_rows), "item_1")
 
 
 def category_top_pairs(with_category: DataFrame, n: int = PAIRS_PER_CATEGORY) -> DataFrame:
@@ -71,9 +71,7 @@ def user_profiles(
     """
     if recommendations is None:
         return ranked.select("user_id", "top_categories", empty_string_array().alias("recommended_pairs"))
-    recs = checked_broadcast(
-        recommendations.select("item_category", "recommended_pairs"), max_broadcast_rows, materialize=True
-    )
+    recs = build_side(recommendations.select("item_category", "recommended_pairs"), max_broadcast_rows)
     with_primary = ranked.withColumn("primary_category", first_category("top_categories"))
     joined = with_primary.join(recs, with_primary["primary_category"] == recs["item_category"], "left")
     return joined.select(

@@ -27,9 +27,23 @@ def checked_broadcast(
     checkpoint folder (``checkpoint()``), so an expensive side is computed
     once for both the count and the join, and its lineage is cut.
     """
-    if max_rows is None or max_rows <= 0:
-        return df
     if materialize:
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    if max_rows is not None and max_rows > 0 and df.count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
+def build_side(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """An aggregated join build side (one row per key), ready for a skewed probe side.
+
+    AQE's skew-join rule only splits a hot key when both sides of the
+    sort-merge join are a sort directly over a shuffle.  A side that ends in
+    an aggregate (``distinct``, ``collect_list``) breaks that shape, and an
+    extra ``repartition`` on the same keys is optimised away.  So the side is
+    materialised with ``checkpoint()`` and then broadcast if its proven size
+    allows; otherwise the join reads it as a plain scan under its own shuffle,
+    and AQE can split a hot key on the other side.
+    """
+    return checked_broadcast(df, max_rows, materialize=True)
