@@ -138,6 +138,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--top-k", type=int, default=None)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("shopsignal").getOrCreate()
+    from .config import apply_missing, input_bytes, recommended
+
+    apply_missing(spark, recommended(input_bytes(spark, args.raw or args.sf_dir)))
     if args.raw:
         raw = files.read_raw_csv(spark, args.raw)
     else:

@@ -20,3 +20,27 @@ def test_run_all_end_to_end(spark):
     assert spark.read.text(p["reports/row_count"]).first().value == "Total rows: 732"
     assert spark.read.parquet(p["campaign"]).count() == 15
     assert spark.read.parquet(f"{p['store']}/by_item").count() > 0
+
+
+def test_recommended_config_scales_with_input(spark):
+    from shopsignal.plans import config
+
+    small = config.recommended(10 * 1024**2)
+    big = config.recommended(100 * 1024**4)  # 100 TB
+    assert int(small["spark.sql.shuffle.partitions"]) == config.MIN_SHUFFLE_PARTITIONS
+    assert int(big["spark.sql.shuffle.partitions"]) == config.MAX_SHUFFLE_PARTITIONS
+    assert config.input_bytes(spark, SF_SMALL) > 0
+
+
+def test_cli_runs_on_fixture(spark):
+    from shopsignal.plans import config
+
+    keys = list(config.recommended(1))
+    before = {k: spark.conf.get(k, None) for k in keys}
+    out = scratch_path(spark, "cli")
+    try:
+        phases.main(["--sf-dir", SF_SMALL, "--out", out, "--partitions", "2"])
+        assert spark.read.parquet(f"{out}/campaign").count() == 15
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
