@@ -33,12 +33,13 @@ def campaign(
     ``user_id`` first, then ``marketing_action`` and ``discount_offer``.
     """
     if profiles is None:
-        profiles = ranked_categories(affinity_scores(history if history is not None else current))
-    abandoned = abandoned_sessions(current)
-    lists = category_lists(profiles, top_k)
-    if _ends_in_aggregate(lists):
-        lists = build_side(lists, max_broadcast_rows)  # one row per user; a hot user may own many carts
-    joined = abandoned.join(lists, on="user_id", how="left")
+        # Ranked here, the lists end in a per-user aggregate: materialise them so
+        # the join can broadcast them or AQE can split a user with many carts.
+        ranked = ranked_categories(affinity_scores(history if history is not None else current))
+        lists = build_side(category_lists(ranked, top_k), max_broadcast_rows)
+    else:  # a stored profile table: a plain scan under the join's shuffle
+        lists = category_lists(profiles, top_k)
+    joined = abandoned_sessions(current).join(lists, on="user_id", how="left")
     return (
         joined.withColumn("marketing_action", F.lit(MARKETING_ACTION))
         .withColumn("discount_offer", offer_label("top_categories_list", "category"))
@@ -46,11 +47,6 @@ def campaign(
     )
 
 
-def _ends_in_aggregate(df: DataFrame) -> bool:
-    """True when the plan computes rows by aggregation (profiles ranked from logs), not by a scan."""
-    return "Aggregate" in df._jdf.queryExecution().optimizedPlan().toString()
-
-
 def offer_counts(campaign_df: DataFrame) -> DataFrame:
     """Rows per ``discount_offer``."""
     return campaign_df.groupBy("discount_offer").agg(F.count(F.lit(1)).alias("n"))

@@ -314,8 +314,7 @@ def q_quality_report(spark, sf):
 
 def q_users_by_category_indexed(spark, sf):
     paths = store.publish_profiles(_profiles(spark, sf), scratch_path(spark, "store_idx"))
-    by_category = store.read_store(spark, paths["by_category"].rsplit("/", 1)[0], "by_category")
-    return store.users_by_category_indexed(by_category, LOOKUP_CATEGORY, 3)
+    return store.users_by_category_indexed(spark.read.parquet(paths["by_category"]), LOOKUP_CATEGORY, 3)
 
 
 QUERIES: dict[str, Query] = {
