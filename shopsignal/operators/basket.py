@@ -35,8 +35,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS
-from ..session import ensure_checkpoint_dir
+from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize
 
 DEFAULT_BLOCK_SIZE = 1024
 
@@ -46,15 +45,15 @@ def purchase_items(clean: DataFrame, basket: str = "session_id", item: str = "pr
     return clean.filter(F.col("event_type") == "purchase").select(basket, item)
 
 
-def _big_baskets(distinct_items: DataFrame, basket: str, block_size: int) -> DataFrame | None:
-    """``(basket, _nblk)`` for baskets with more than ``block_size`` distinct items, checkpointed; None if none."""
+def _big_baskets(distinct_items: DataFrame, basket: str, block_size: int) -> tuple[DataFrame, int] | None:
+    """``(basket, _nblk)`` for baskets with more than ``block_size`` distinct items (checkpointed) and
+    their number; None if there are none."""
     sizes = distinct_items.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.filter(F.col("_n") > block_size).select(
         basket, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nblk")
     )
-    ensure_checkpoint_dir(distinct_items.sparkSession)
-    big = big.checkpoint(eager=True)
-    return big if big.count() > 0 else None
+    big, n_big = materialize(big)
+    return (big, n_big) if n_big > 0 else None
 
 
 def _any_basket_over(items: DataFrame, basket: str, block_size: int) -> bool:
@@ -63,10 +62,11 @@ def _any_basket_over(items: DataFrame, basket: str, block_size: int) -> bool:
     return sizes.filter(F.col("_n") > block_size).count() > 0
 
 
-def _with_blocks(distinct_items: DataFrame, big: DataFrame, basket: str, item: str,
+def _with_blocks(distinct_items: DataFrame, big: tuple[DataFrame, int], basket: str, item: str,
                  max_broadcast_rows: int | None) -> DataFrame:
     """Append ``_nblk`` and the item's block ``_b = pmod(xxhash64(item), _nblk)`` (1 block for small baskets)."""
-    fits = max_broadcast_rows is not None and big.count() <= max_broadcast_rows
+    big, n_big = big
+    fits = max_broadcast_rows is not None and n_big <= max_broadcast_rows
     nblk = F.coalesce(F.col("_nblk"), F.lit(1))
     return distinct_items.join(F.broadcast(big) if fits else big, basket, "left").select(
         basket, item, nblk.alias("_nblk"), F.pmod(F.xxhash64(F.col(item)), nblk).cast("int").alias("_b")

@@ -1,13 +1,13 @@
 """Join strategy helpers.
 
-``checked_broadcast`` broadcasts a join side only after proving its size with a
-row count; beyond the bound the side is returned unchanged and Catalyst plans a
-shuffle join (with AQE skew splitting for hot keys).
+A side is broadcast only after its row count proves it small; beyond the
+bound it is returned unchanged and Catalyst plans a shuffle join (with AQE
+skew splitting for hot keys).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -17,22 +17,35 @@ from ..session import ensure_checkpoint_dir
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+def materialize(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write ``df`` to the shared checkpoint folder and return it with its row count.
+
+    One job: the count is observed while the checkpoint is written, so the
+    size proof needs no second pass.  The result reads the checkpoint files,
+    which also cuts the lineage (a lost executor does not recompute it).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    seen = Observation()
+    saved = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    return saved, int(seen.get["rows"])
+
+
 def checked_broadcast(
-    df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, materialize: bool = False
+    df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, cut_lineage: bool = False
 ) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
 
     The count is one distributed aggregate (partial counts per task, no rows
-    move).  With ``materialize`` the side is first written to the shared
-    checkpoint folder (``checkpoint()``), so an expensive side is computed
-    once for both the count and the join, and its lineage is cut.
+    move).  With ``cut_lineage`` the side is first written to the shared
+    checkpoint folder and counted in the same job, so an expensive side is
+    computed once for both the size check and the join.
     """
-    if materialize:
-        ensure_checkpoint_dir(df.sparkSession)
-        df = df.checkpoint(eager=True)
-    if max_rows is not None and max_rows > 0 and df.count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    bounded = max_rows is not None and max_rows > 0
+    if cut_lineage:
+        df, n = materialize(df)
+    elif bounded:
+        n = df.count()
+    return F.broadcast(df) if bounded and n <= max_rows else df
 
 
 def build_side(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -46,4 +59,4 @@ def build_side(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS)
     allows; otherwise the join reads it as a plain scan under its own shuffle,
     and AQE can split a hot key on the other side.
     """
-    return checked_broadcast(df, max_rows, materialize=True)
+    return checked_broadcast(df, max_rows, cut_lineage=True)
