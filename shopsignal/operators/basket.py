@@ -95,24 +95,29 @@ def session_baskets(
     return chunked.groupBy(basket, "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
-def _blocked_items(items: DataFrame, basket: str, item: str, block_size: int,
-                   max_broadcast_rows: int | None) -> DataFrame | None:
-    """Distinct ``(basket, item, _b, _lo, _hi)`` routed to block pairs; None if no basket is big.
-
-    Sizes are first bounded by raw rows (cheap, no dedup).  Only when some
-    basket may be big are items deduplicated, so that blocks come from exact
-    distinct counts and repeat purchases are never fanned out.
+def _pair_input(items: DataFrame, basket: str, item: str, block_size: int,
+                max_broadcast_rows: int | None) -> tuple[DataFrame, bool]:
+    """The rows the pair self-join reads, and whether they carry block keys.
+
+    * No basket above ``block_size`` raw rows (cheap check, no dedup): the raw
+      ``(basket, item)`` rows; the self-join's shuffle deduplicates them.
+    * Otherwise items are deduplicated first (shuffle on ``(basket, item)``,
+      which spreads a hot basket), so repeat purchases are never fanned out or
+      sent to one task, and exact distinct counts decide: if still no basket is
+      big, the distinct rows; else distinct ``(basket, item, _b, _lo, _hi)``
+      routed to block pairs.
     """
     if not _any_basket_over(items, basket, block_size):
-        return None
+        return items, False
     distinct_items = items.dropDuplicates([basket, item])
     big = _big_baskets(distinct_items, basket, block_size)
     if big is None:
-        return None
+        return distinct_items, False
     blocked = _with_blocks(distinct_items, big, basket, item, max_broadcast_rows)
-    return blocked.select(
+    routed = blocked.select(
         basket, item, "_b", F.explode(F.sequence(F.lit(0), F.col("_nblk") - 1)).alias("_j")
     ).select(basket, item, "_b", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi"))
+    return routed, True
 
 
 def basket_pairs(
@@ -127,12 +132,12 @@ def basket_pairs(
     Rows with a null basket or item take no part.
     """
     base = items.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-    tagged = _blocked_items(base, basket, item, block_size, max_broadcast_rows)
-    if tagged is None:  # every basket fits one block: the block key is the basket
+    rows, blocked = _pair_input(base, basket, item, block_size, max_broadcast_rows)
+    if not blocked:  # every basket fits one block: the block key is the basket
         keys = [basket]
         # One explicit shuffle on the basket feeds the distinct and both sides
         # of the self-join (sort-merge: a broadcast side would recompute it).
-        blocks = base.repartition(basket).dropDuplicates([basket, item])
+        blocks = rows.repartition(basket).dropDuplicates([basket, item])
         pair_ok = F.col("_a") < F.col("_z")
         extra_a, extra_z = [], []
     else:
@@ -143,7 +148,7 @@ def basket_pairs(
         extra_a, extra_z = [F.col("_b").alias("_ab")], [F.col("_b").alias("_zb")]
         # Items are distinct already; the shuffle on the block key spreads a
         # big basket over its block pairs and serves both join sides.
-        blocks = tagged.repartition(*keys)
+        blocks = rows.repartition(*keys)
     a = blocks.select(*keys, *extra_a, F.col(item).alias("_a"))
     z = blocks.select(*keys, *extra_z, F.col(item).alias("_z"))
     return a.join(z.hint("merge"), keys).where(pair_ok).select(

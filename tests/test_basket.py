@@ -101,7 +101,8 @@ def test_repeat_heavy_basket_is_not_fanned_out(spark):
     # 5,000 rows but 3 distinct items: raw size says "big", exact distinct size says one block
     items = [("BOT", f"I{i % 3}") for i in range(5000)] + [("s", "I0"), ("s", "I9")]
     df = spark.createDataFrame(items, "session_id string, product_id string")
-    assert basket._blocked_items(df, "session_id", "product_id", 100, 10**6) is None
+    rows_in, blocked = basket._pair_input(df, "session_id", "product_id", 100, 10**6)
+    assert not blocked and rows_in.count() == 4  # deduplicated before the basket shuffle
     assert rows(basket.pair_frequencies(df, block_size=100)) == brute_pairs(items)
 
 
