@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import ranked_to_maps
 from ..functions.scoring import event_weight
+from ..plans.joins import key_bucket
 
 
 def event_scores(clean: DataFrame, weights: Mapping[str, int] | None = None) -> DataFrame:
@@ -34,9 +35,11 @@ def ranked_categories(affinity: DataFrame) -> DataFrame:
 
     All of a user's categories, ordered by score descending, ties by category
     descending, null scores last.  A group is one user's categories, so it is
-    bounded by the category catalogue, not by the number of events.
+    bounded by the category catalogue, not by the number of events.  Grouped
+    with ``key_bucket`` so a join on ``user_id`` (the campaign) can split a user
+    with many carts or broadcast the profiles from their measured size.
     """
-    grouped = affinity.groupBy("user_id").agg(
+    grouped = affinity.groupBy("user_id", key_bucket("user_id")).agg(
         F.sort_array(F.collect_list(F.struct("total_score", "category")), asc=False).alias("_sorted")
     )
     return grouped.select(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import category_list
 from ..functions.scoring import offer_label
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, build_side
 from ..schemas import MARKETING_ACTION
 from .abandonment import abandoned_sessions
 from .affinity import affinity_scores, ranked_categories
@@ -23,7 +22,6 @@ def campaign(
     history: DataFrame | None = None,
     profiles: DataFrame | None = None,
     top_k: int | None = None,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Abandoned carts (session level) of ``current`` logs with an offer each.
 
@@ -31,14 +29,15 @@ def campaign(
     ``history`` logs (default: ``current``).  ``top_k`` keeps only the first
     ``top_k`` categories of each profile.  Output: cart columns with
     ``user_id`` first, then ``marketing_action`` and ``discount_offer``.
+
+    The profile side reaches the join through its own shuffle on ``user_id``
+    (a stored table is a plain scan; ranked lists are grouped with
+    ``key_bucket``), so AQE either broadcasts it from its measured size or
+    splits a user with many abandoned carts over several tasks.
     """
     if profiles is None:
-        # Ranked here, the lists end in a per-user aggregate: materialise them so
-        # the join can broadcast them or AQE can split a user with many carts.
-        ranked = ranked_categories(affinity_scores(history if history is not None else current))
-        lists = build_side(category_lists(ranked, top_k), max_broadcast_rows)
-    else:  # a stored profile table: a plain scan under the join's shuffle
-        lists = category_lists(profiles, top_k)
+        profiles = ranked_categories(affinity_scores(history if history is not None else current))
+    lists = category_lists(profiles, top_k)
     joined = abandoned_sessions(current).join(lists, on="user_id", how="left")
     return (
         joined.withColumn("marketing_action", F.lit(MARKETING_ACTION))

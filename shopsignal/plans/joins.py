@@ -1,13 +1,19 @@
 """Join strategy helpers.
 
-A side is broadcast only after its row count proves it small; beyond the
-bound it is returned unchanged and Catalyst plans a shuffle join (with AQE
-skew splitting for hot keys).
+Two ways a join side gets broadcast, both behind a size that was measured:
+
+* ``checked_broadcast``: an explicit row count first; beyond the bound the
+  side is returned unchanged and Catalyst plans a shuffle join.
+* Aggregated sides (one row per key) are left to AQE, which broadcasts a
+  side only from the measured size of its shuffle output
+  (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise keeps the
+  sort-merge join, splitting hot keys of the other side.  For that split the
+  aggregate is grouped with ``key_bucket`` (see there).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -16,13 +22,32 @@ from ..session import ensure_checkpoint_dir
 # (2-3 short columns), so 2M rows stay well under ~100 MB per executor.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+# Buckets of ``key_bucket``; any value > 1 works, it only changes the grouping columns.
+KEY_BUCKETS = 64
+
+
+def key_bucket(*keys: str) -> Column:
+    """A redundant grouping column for an aggregate that later feeds a join on ``keys``.
+
+    The value is a function of ``keys`` alone, so ``groupBy(*keys,
+    key_bucket(*keys))`` forms exactly the groups of ``groupBy(*keys)``.  But
+    the aggregate's output is then hash-partitioned on more columns than the
+    join keys, so the join adds its own shuffle on ``keys`` directly under its
+    sort.  That is the shape AQE's skew-join rule needs to split a hot key on
+    the *other* side, and the shuffle's measured size lets AQE broadcast this
+    side when it is small.  Without it the join reads the aggregate's
+    partitioning as is, and one task gets every row of a hot key.
+    """
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(KEY_BUCKETS)).alias("_key_bucket")
+
 
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """Write ``df`` to the shared checkpoint folder and return it with its row count.
 
-    One job: the count is observed while the checkpoint is written, so the
-    size proof needs no second pass.  The result reads the checkpoint files,
-    which also cuts the lineage (a lost executor does not recompute it).
+    The count is observed while the checkpoint is written, so the size proof
+    needs no separate pass over the input (the write re-reads only the final
+    shuffle output).  The result reads the checkpoint files, which also cuts
+    the lineage (a lost executor does not recompute it).
     """
     ensure_checkpoint_dir(df.sparkSession)
     seen = Observation()
@@ -46,17 +71,3 @@ def checked_broadcast(
     elif bounded:
         n = df.count()
     return F.broadcast(df) if bounded and n <= max_rows else df
-
-
-def build_side(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """An aggregated join build side (one row per key), ready for a skewed probe side.
-
-    AQE's skew-join rule only splits a hot key when both sides of the
-    sort-merge join are a sort directly over a shuffle.  A side that ends in
-    an aggregate (``distinct``, ``collect_list``) breaks that shape, and an
-    extra ``repartition`` on the same keys is optimised away.  So the side is
-    materialised with ``checkpoint()`` and then broadcast if its proven size
-    allows; otherwise the join reads it as a plain scan under its own shuffle,
-    and AQE can split a hot key on the other side.
-    """
-    return checked_broadcast(df, max_rows, cut_lineage=True)

@@ -73,8 +73,16 @@ def test_hot_user_campaign_and_affinity_exact(spark):
     got = _with_conf(spark, SKEW_CONF, lambda: {
         (r.user_id, r.category): r.total_score for r in affinity.affinity_scores(logs).collect()})
     assert got == want
-    n = _with_conf(spark, SKEW_CONF, lambda: campaign.campaign(logs, max_broadcast_rows=0).count())
+
+    def run_campaign():
+        df = campaign.campaign(logs).select("event_id", "discount_offer")
+        n = len(df.collect())  # run df's own plan, so the final adaptive plan is shown
+        return n, df._jdf.queryExecution().executedPlan().toString()
+
+    n, plan = _with_conf(spark, SKEW_CONF, run_campaign)
     assert n == len(_brute_abandoned_sessions(local))
+    # the hot user's carts are split against the per-user profile lists
+    assert any("skew=true" in line and "[user_id" in line for line in plan.splitlines()), plan
 
 
 def test_hot_basket_pairs_exact_with_blocks(spark):
@@ -84,3 +92,35 @@ def test_hot_basket_pairs_exact_with_blocks(spark):
     from test_basket import brute_pairs
 
     assert got == brute_pairs(items)
+
+
+def test_hot_primary_category_profile_join_is_split_and_exact(spark):
+    from shopsignal.operators import recommend
+
+    # a third of all users rank C0 first; recommendations exist for every category
+    n_users = 3000
+    aff = spark.createDataFrame(
+        [(f"User_{u}", "C0" if u % 3 == 0 else f"C{1 + u % 40}", 10) for u in range(n_users)]
+        + [(f"User_{u}", "C99", 1) for u in range(0, n_users, 5)],
+        "user_id string, category string, total_score bigint",
+    ).repartition(16)
+    recs = spark.createDataFrame(
+        [(f"C{c}", f"ITEM_{c}", f"ITEM_{c + 100}", 5, 1) for c in range(41)],
+        "item_category string, item_1 string, item_2 string, frequency bigint, rn int",
+    )
+
+    def run():
+        df = recommend.user_profiles(affinity.ranked_categories(aff), recommend.category_recommendations(recs))
+        got = {r.user_id: (r.top_categories[0].category, list(r.recommended_pairs)) for r in df.collect()}
+        return got, df._jdf.queryExecution().executedPlan().toString()
+
+    # AQE would coalesce this tiny upstream stage into one map output, and a
+    # partition with a single map output cannot be split (at scale there are many)
+    conf = dict(SKEW_CONF, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    got, plan = _with_conf(spark, conf, run)
+    assert len(got) == n_users
+    for u in range(n_users):
+        first = "C0" if u % 3 == 0 else f"C{1 + u % 40}"
+        c = int(first[1:])
+        assert got[f"User_{u}"] == (first, [f"ITEM_{c}", f"ITEM_{c + 100}"])
+    assert any("skew=true" in line and "primary_category" in line for line in plan.splitlines()), plan

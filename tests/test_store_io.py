@@ -88,3 +88,22 @@ def test_layout_ops_keep_rows(spark):
     tagged = keyed.withColumn("pid", F.spark_partition_id())
     spread = tagged.select("session_id", "pid").distinct().groupBy("session_id").count().collect()
     assert all(r["count"] == 1 for r in spread)
+
+
+def test_clustered_splits_hot_key_and_keeps_key_ranges(spark):
+    from pyspark.sql import functions as F
+
+    # a third of all rows share one category
+    data = [("HOT" if i % 3 == 0 else f"C{i % 50:02d}", f"User_{i:05d}") for i in range(6000)]
+    df = spark.createDataFrame(data, "category string, user_id string")
+    out = layout.clustered(df, "category", 8, then="user_id")
+    parts = out.groupBy(F.spark_partition_id().alias("p")).agg(
+        F.min("category").alias("lo"), F.max("category").alias("hi"), F.count(F.lit(1)).alias("n")
+    ).collect()
+    assert sum(r.n for r in parts) == len(data) and rows(out) == rows(df)
+    hot = [r for r in parts if r.lo <= "HOT" <= r.hi]
+    assert len(hot) >= 2  # the hot category is cut over several partitions
+    assert max(r.n for r in parts) < 2000  # no partition holds the whole hot key
+    # ranges do not interleave: sorted by lo, each partition starts at or after the previous end
+    spans = sorted((r.lo, r.hi) for r in parts)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
