@@ -309,7 +309,7 @@ def q_store_by_item(spark, sf):
 def q_quality_report(spark, sf):
     from .plans.phases import quality_report
 
-    return quality_report(_raw(spark, sf)).withColumn("event_types", F.array_join("event_types", "|"))
+    return quality_report(_raw(spark, sf))
 
 
 def q_users_by_category_indexed(spark, sf):
@@ -541,12 +541,12 @@ ORACLE: dict[str, str] = {
     + "select category, pos rank, user_id, total_score score from ranked",
     "quality_report": _with()
     + "select r.*, c.clean_rows, r.n_rows - c.clean_rows dropped_rows, c.views, c.carts, c.purchases, "
-    "c.event_types, c.views + c.carts + c.purchases = c.clean_rows reconciles from (select count(*) n_rows, "
+    "c.n_event_types, c.views + c.carts + c.purchases = c.clean_rows reconciles from (select count(*) n_rows, "
     + f"{len(RAW.fields)} n_columns, "
     + ", ".join(f"count(*) - count({_dq(f.name)}) null_{f.name}" for f in RAW.fields)
     + " from raw) r, (select count(*) clean_rows, count(*) filter (where event_type = 'view') views, "
     "count(*) filter (where event_type = 'cart') carts, count(*) filter (where event_type = 'purchase') purchases, "
-    "string_agg(distinct event_type, '|' order by event_type) event_types from clean) c",
+    "count(distinct event_type) n_event_types from clean) c",
     "users_by_category_indexed": _with(_AFFINITY)
     + f"select user_id, total_score score from affinity where category = '{LOOKUP_CATEGORY}' "
     "order by score desc nulls last, user_id limit 3",

@@ -1,6 +1,7 @@
 from conftest import SF_SMALL
 
 from shopsignal import fixtures
+from shopsignal.operators.clean import clean_logs
 from shopsignal.plans import phases
 from shopsignal.session import scratch_path
 
@@ -9,7 +10,8 @@ def test_quality_report_one_row(spark):
     r = phases.quality_report(fixtures.raw_logs(spark, SF_SMALL)).first()
     assert (r.n_rows, r.clean_rows, r.dropped_rows) == (1000, 732, 268)
     assert (r.views, r.carts, r.purchases) == (142, 155, 153)
-    assert r.reconciles is False and "view" in r.event_types
+    n_types = fixtures.raw_logs(spark, SF_SMALL).transform(clean_logs).select("event_type").distinct().count()
+    assert r.reconciles is False and r.n_event_types == n_types
 
 
 def test_run_all_end_to_end(spark):
