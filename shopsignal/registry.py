@@ -317,6 +317,17 @@ def q_users_by_category_indexed(spark, sf):
     return store.users_by_category_indexed(spark.read.parquet(paths["by_category"]), LOOKUP_CATEGORY, 3)
 
 
+def q_users_by_item_indexed(spark, sf):
+    paths = store.publish_profiles(_profiles(spark, sf), scratch_path(spark, "store_item_idx"))
+    return store.users_by_item_indexed(spark.read.parquet(paths["by_item"]), LOOKUP_ITEM, 5)
+
+
+def q_profile_by_user_indexed(spark, sf):
+    root = scratch_path(spark, "store_user_idx")
+    store.publish_profiles(_profiles(spark, sf), root)
+    return _flat_profiles(store.profile_by_user(store.read_store(spark, root), LOOKUP_USER))
+
+
 QUERIES: dict[str, Query] = {
     "scan_csv_logs": q_scan_csv_logs,
     "scan_parquet_logs": q_scan_parquet_logs,
@@ -373,6 +384,8 @@ QUERIES: dict[str, Query] = {
     "store_by_item": q_store_by_item,
     "quality_report": q_quality_report,
     "users_by_category_indexed": q_users_by_category_indexed,
+    "users_by_item_indexed": q_users_by_item_indexed,
+    "profile_by_user_indexed": q_profile_by_user_indexed,
 }
 
 
@@ -550,6 +563,10 @@ ORACLE: dict[str, str] = {
     "users_by_category_indexed": _with(_AFFINITY)
     + f"select user_id, total_score score from affinity where category = '{LOOKUP_CATEGORY}' "
     "order by score desc nulls last, user_id limit 3",
+    "users_by_item_indexed": _with(*_PROFILE_CTES)
+    + f"select user_id from profiles where list_contains(string_split(recommended_pairs, '|'), '{LOOKUP_ITEM}') "
+    "order by user_id limit 5",
+    "profile_by_user_indexed": _with(*_PROFILE_CTES) + f"select * from profiles where user_id = '{LOOKUP_USER}'",
     "store_by_item": _with(*_PROFILE_CTES)
     + "select distinct u.item, p.user_id from profiles p, unnest(string_split(p.recommended_pairs, '|')) u(item) "
     "where p.recommended_pairs <> ''",

@@ -5,6 +5,7 @@ from helpers import log_row, raw_df
 
 from shopsignal.operators import store
 from shopsignal.plans import layout
+from shopsignal.schemas import PROFILE
 from shopsignal.session import scratch_path
 from shopsignal.sources import files
 
@@ -50,6 +51,16 @@ def test_publish_and_read_store(spark):
     assert [tuple(r) for r in got] == [("User_1", 9), ("User_3", 9), ("User_2", None)]
     plan = store.users_by_category_indexed(by_cat, "Home")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(category,Home)" in plan
+    by_item = spark.read.parquet(paths["by_item"])
+    assert [r.user_id for r in store.users_by_item_indexed(by_item, "A").collect()] == ["User_1"]
+    assert [r.user_id for r in store.users_by_item_indexed(by_item, "C").collect()] == ["User_1", "User_3"]
+    assert store.users_by_item_indexed(by_item, "missing").count() == 0
+    plan = store.users_by_item_indexed(by_item, "C")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(item,C)" in plan
+    stored = spark.read.schema(PROFILE).parquet(paths["profiles"])
+    one = store.profile_by_user(stored, "User_3")
+    assert [r.user_id for r in one.collect()] == ["User_3"]
+    assert "EqualTo(user_id,User_3)" in one._jdf.queryExecution().executedPlan().toString()
 
 
 def test_csv_roundtrip_quotes_newlines_micros(spark):
