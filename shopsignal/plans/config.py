@@ -2,7 +2,15 @@
 
 Partitions are sized so a shuffle partition and a scan split stay well inside
 an executor task's memory at any input size; AQE then coalesces small
-partitions and splits skewed ones at run time.
+partitions (to the advisory size, not to maximal parallelism) and splits
+skewed ones at run time.
+
+Automatic broadcasts are decided from measured sizes only: the static
+planner's threshold is off (its estimate comes from compressed file sizes,
+which can be many times smaller than the rows in memory), and AQE broadcasts
+a join side once its shuffle output is measured below
+``RUNTIME_BROADCAST_BYTES``.  Explicit ``broadcast()`` hints (behind a row
+count, ``plans.joins.checked_broadcast``) are unaffected.
 """
 
 from __future__ import annotations
@@ -14,6 +22,7 @@ from pyspark.sql import SparkSession
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024  # per shuffle partition / scan split
 MIN_SHUFFLE_PARTITIONS = 200
 MAX_SHUFFLE_PARTITIONS = 200_000
+RUNTIME_BROADCAST_BYTES = 64 * 1024 * 1024  # measured shuffle output of a side AQE may broadcast
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -37,6 +46,9 @@ def recommended(total_input_bytes: int, expansion: float = 3.0) -> dict[str, str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(RUNTIME_BROADCAST_BYTES),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES // 2),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),

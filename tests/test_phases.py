@@ -32,6 +32,31 @@ def test_recommended_config_scales_with_input(spark):
     assert int(small["spark.sql.shuffle.partitions"]) == config.MIN_SHUFFLE_PARTITIONS
     assert int(big["spark.sql.shuffle.partitions"]) == config.MAX_SHUFFLE_PARTITIONS
     assert config.input_bytes(spark, SF_SMALL) > 0
+    # automatic broadcasts only from measured sizes
+    assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert int(big["spark.sql.adaptive.autoBroadcastJoinThreshold"]) == config.RUNTIME_BROADCAST_BYTES
+
+
+def test_runtime_broadcast_from_measured_size(spark):
+    from shopsignal.operators import affinity, campaign, clean
+
+    from shopsignal.plans import config
+
+    settings = config.recommended(10 * 1024**2)
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = campaign.campaign(clean.clean_logs(fixtures.raw_logs(spark, SF_SMALL)))
+        n = len(df.collect())
+        final = df._jdf.queryExecution().executedPlan().toString()
+        initial = final.split("== Initial Plan ==")[1]
+        assert n == 15
+        assert "BroadcastHashJoin" not in initial.replace("BroadcastHashJoin [cast(k", "")  # no static guess
+        assert "BroadcastHashJoin" in final.split("== Initial Plan ==")[0]  # AQE, from measured sizes
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_cli_runs_on_fixture(spark):
