@@ -1 +1 @@
-"""Plan-shaping helpers (join strategy, physical layout) and the end-to-end pipeline."""
+"""Plan-shaping helpers (join strategy, physical layout, cluster settings) and the end-to-end batch run."""
