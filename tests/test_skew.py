@@ -124,3 +124,59 @@ def test_hot_primary_category_profile_join_is_split_and_exact(spark):
         c = int(first[1:])
         assert got[f"User_{u}"] == (first, [f"ITEM_{c}", f"ITEM_{c + 100}"])
     assert any("skew=true" in line and "primary_category" in line for line in plan.splitlines()), plan
+
+
+def test_hot_cart_key_item_level_anti_join_is_split_and_exact(spark):
+    # a third of all rows: carts of one (user, session, product) key
+    specs = []
+    for i in range(3000):
+        if i % 3 == 0:
+            specs.append(("HOT", "User_hot", "ITEM_hot", "cart"))
+        else:
+            s = i % 200
+            specs.append((f"S{s}", f"User_{s % 50}", f"ITEM_{i % 17}", ["view", "cart", "purchase"][i % 3]))
+    logs = clean.clean_logs(raw_df(spark, [
+        log_row(i, session=s, user=u, product=p, event=e, pmeta='{"category":"C%d"}' % (i % 5))
+        for i, (s, u, p, e) in enumerate(specs)
+    ])).repartition(16)
+    local = logs.collect()
+    bought = {(r.user_id, r.session_id, r.product_id) for r in local if r.event_type == "purchase"}
+    want = sorted((r.event_id,) for r in local
+                  if r.event_type == "cart" and (r.user_id, r.session_id, r.product_id) not in bought)
+
+    def run():
+        df = abandonment.abandoned_items(logs).select("event_id")
+        return sorted(tuple(r) for r in df.collect()), df._jdf.queryExecution().executedPlan().toString()
+
+    got, plan = _with_conf(spark, SKEW_CONF, run)
+    assert got == want
+    assert "skew=true" in plan
+
+
+def test_hot_item_pairs_category_join_is_split_and_exact(spark):
+    from shopsignal.operators import recommend
+
+    # one item is item_1 of a third of all pairs
+    pairs = spark.createDataFrame(
+        [("A_HOT", f"Z{i:04d}", 1) for i in range(1500)] + [(f"B{i % 300:03d}", f"Z{i:04d}", 2) for i in range(3000)],
+        "item_1 string, item_2 string, frequency bigint",
+    ).repartition(16)
+    cmap = spark.createDataFrame(
+        [("A_HOT", "C1"), ("A_HOT", "C2")] + [(f"B{i:03d}", f"C{i % 5}") for i in range(300)],
+        "item_1 string, item_category string",
+    ).repartition(4)
+
+    def run():
+        df = recommend.pairs_with_category(pairs, cmap).select("item_1", "item_2", "item_category")
+        got = sorted(tuple(r) for r in df.collect())
+        return got, df._jdf.queryExecution().executedPlan().toString()
+
+    conf = dict(SKEW_CONF, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    got, plan = _with_conf(spark, conf, run)
+    cats = {}
+    for item, cat in [("A_HOT", "C1"), ("A_HOT", "C2")] + [(f"B{i:03d}", f"C{i % 5}") for i in range(300)]:
+        cats.setdefault(item, []).append(cat)
+    want = sorted((a, z, c) for a, z in [("A_HOT", f"Z{i:04d}") for i in range(1500)]
+                  + [(f"B{i % 300:03d}", f"Z{i:04d}") for i in range(3000)] for c in cats[a])
+    assert got == want  # multi-category fan-out kept
+    assert any("skew=true" in line and "[item_1" in line for line in plan.splitlines()), plan
