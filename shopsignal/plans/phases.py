@@ -142,13 +142,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output root on shared storage")
     ap.add_argument("--partitions", type=int, default=None, help="output partitions (reference: 48)")
     ap.add_argument("--top-k", type=int, default=None)
+    ap.add_argument(
+        "--single-line", action="store_true",
+        help="raw CSV has no quoted newlines: read it line by line, so one big file is split over many "
+             "tasks (the default multi-line read, needed for quoted newlines, makes each file one task)",
+    )
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("shopsignal").getOrCreate()
     from .config import apply_missing, input_bytes, recommended
 
     apply_missing(spark, recommended(input_bytes(spark, args.raw or args.sf_dir)))
     if args.raw:
-        raw = files.read_raw_csv(spark, args.raw)
+        raw = files.read_raw_csv(spark, args.raw, multi_line=not args.single_line)
     else:
         from ..fixtures import raw_logs
 

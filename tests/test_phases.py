@@ -71,3 +71,22 @@ def test_cli_runs_on_fixture(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_cli_single_line_splits_one_big_raw_file(spark):
+    from shopsignal.plans import config
+    from shopsignal.sources import files
+
+    raw_csv = files.write_csv(fixtures.raw_logs(spark, SF_SMALL).coalesce(1), scratch_path(spark, "raw_one_file"))
+    keys = list(config.recommended(1)) + ["spark.sql.files.maxPartitionBytes"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+        assert files.read_raw_csv(spark, raw_csv).rdd.getNumPartitions() == 1  # multi-line: one task per file
+        assert files.read_raw_csv(spark, raw_csv, multi_line=False).rdd.getNumPartitions() > 1
+        out = scratch_path(spark, "cli_single")
+        phases.main(["--raw", raw_csv, "--out", out, "--single-line"])
+        assert spark.read.parquet(f"{out}/campaign").count() == 15
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
