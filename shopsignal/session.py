@@ -39,13 +39,23 @@ def local_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one only if the session has none."""
+    """The shared checkpoint folder the session names in ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, the bench) without that setting gets a
+    temporary folder of its own; on a cluster a machine-local folder would not
+    be shared by the executors, so a missing setting is an error there.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage (e.g. HDFS or an object "
+                "store) that every executor can read and write"
+            )
         configured = tempfile.mkdtemp(prefix="shopsignal-ckpt-")  # local/test sessions only
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
