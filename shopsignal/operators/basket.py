@@ -16,8 +16,8 @@ The plan therefore bounds the pair work of every task explicitly:
    big basket gets a block ``pmod(xxhash64(item), n_blocks)``
    and is routed to every block pair ``(min(b, j), max(b, j))``; a small basket
    is the single block pair ``(0, 0)``.  The list of big baskets is cut from
-   lineage with ``checkpoint()`` and broadcast only when its row count is
-   within ``max_broadcast_rows``; beyond that it is joined by shuffle.
+   lineage with ``checkpoint()`` and broadcast only when its measured rows
+   and bytes are within bounds; beyond that it is joined by shuffle.
 3. One shuffle on ``(basket, lo, hi)`` feeds an equi self-join on
    ``(basket, lo, hi)`` whose two sides reuse the same exchange (in the common
    case the key is the basket and the same shuffle also deduplicates): a diagonal group pairs items with ``a < z``, an off-diagonal
@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, materialize
+from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcastable, materialize
 
 DEFAULT_BLOCK_SIZE = 1024
 
@@ -45,15 +45,15 @@ def purchase_items(clean: DataFrame, basket: str = "session_id", item: str = "pr
     return clean.filter(F.col("event_type") == "purchase").select(basket, item)
 
 
-def _big_baskets(distinct_items: DataFrame, basket: str, block_size: int) -> tuple[DataFrame, int] | None:
-    """``(basket, _nblk)`` for baskets with more than ``block_size`` distinct items (checkpointed) and
-    their number; None if there are none."""
+def _big_baskets(distinct_items: DataFrame, basket: str, block_size: int) -> tuple[DataFrame, int, int] | None:
+    """``(basket, _nblk)`` for baskets with more than ``block_size`` distinct items (checkpointed), with
+    their number and measured bytes; None if there are none."""
     sizes = distinct_items.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
     big = sizes.filter(F.col("_n") > block_size).select(
         basket, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nblk")
     )
-    big, n_big = materialize(big)
-    return (big, n_big) if n_big > 0 else None
+    big, n_big, n_bytes = materialize(big)
+    return (big, n_big, n_bytes) if n_big > 0 else None
 
 
 def _any_basket_over(items: DataFrame, basket: str, block_size: int) -> bool:
@@ -62,11 +62,11 @@ def _any_basket_over(items: DataFrame, basket: str, block_size: int) -> bool:
     return sizes.filter(F.col("_n") > block_size).count() > 0
 
 
-def _with_blocks(distinct_items: DataFrame, big: tuple[DataFrame, int], basket: str, item: str,
+def _with_blocks(distinct_items: DataFrame, big: tuple[DataFrame, int, int], basket: str, item: str,
                  max_broadcast_rows: int | None) -> DataFrame:
     """Append ``_nblk`` and the item's block ``_b = pmod(xxhash64(item), _nblk)`` (1 block for small baskets)."""
-    big, n_big = big
-    fits = max_broadcast_rows is not None and n_big <= max_broadcast_rows
+    big, n_big, n_bytes = big
+    fits = broadcastable(n_big, n_bytes, max_broadcast_rows)
     nblk = F.coalesce(F.col("_nblk"), F.lit(1))
     return distinct_items.join(F.broadcast(big) if fits else big, basket, "left").select(
         basket, item, nblk.alias("_nblk"), F.pmod(F.xxhash64(F.col(item)), nblk).cast("int").alias("_b")

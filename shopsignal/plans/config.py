@@ -9,8 +9,8 @@ Automatic broadcasts are decided from measured sizes only: the static
 planner's threshold is off (its estimate comes from compressed file sizes,
 which can be many times smaller than the rows in memory), and AQE broadcasts
 a join side once its shuffle output is measured below
-``RUNTIME_BROADCAST_BYTES``.  Explicit ``broadcast()`` hints (behind a row
-count, ``plans.joins.checked_broadcast``) are unaffected.
+``RUNTIME_BROADCAST_BYTES``.  Explicit ``broadcast()`` hints (behind a
+measured row count and size, ``plans.joins.checked_broadcast``) are unaffected.
 """
 
 from __future__ import annotations

@@ -2,8 +2,9 @@
 
 Two ways a join side gets broadcast, both behind a size that was measured:
 
-* ``checked_broadcast``: an explicit row count first; beyond the bound the
-  side is returned unchanged and Catalyst plans a shuffle join.
+* ``checked_broadcast``: the side's rows and bytes are measured first;
+  beyond either bound the side is returned unchanged and Catalyst plans a
+  shuffle join.
 * Aggregated sides (one row per key) are left to AQE, which broadcasts a
   side only from the measured size of its shuffle output
   (``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise keeps the
@@ -13,14 +14,18 @@ Two ways a join side gets broadcast, both behind a size that was measured:
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-# Rows a side may have and still be broadcast.  Sides we broadcast are narrow
-# (2-3 short columns), so 2M rows stay well under ~100 MB per executor.
+# A side is broadcast only if both its measured row count and its measured
+# size (``row_bytes``) are within these bounds.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Buckets of ``key_bucket``; any value > 1 works, it only changes the grouping columns.
 KEY_BUCKETS = 64
@@ -41,33 +46,69 @@ def key_bucket(*keys: str) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(KEY_BUCKETS)).alias("_key_bucket")
 
 
-def materialize(df: DataFrame) -> tuple[DataFrame, int]:
-    """Write ``df`` to the shared checkpoint folder and return it with its row count.
+def row_bytes(df: DataFrame) -> Column:
+    """An upper-bound estimate of one row's in-memory size in bytes.
+
+    A 16-byte row header, an 8-byte slot per field, plus the UTF-8 bytes of
+    every string or binary value (and the JSON text of nested values), so the
+    sum over a side measures what a broadcast would ship, however long its
+    strings turn out to be.
+    """
+    parts = [F.lit(16)]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)) + 8)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8)
+        else:
+            parts.append(F.lit(8))
+    return reduce(lambda a, b: a + b, parts).cast("long")
+
+
+def _size_aggregates(df: DataFrame) -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")]
+
+
+def broadcastable(rows: int, nbytes: int, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+                  max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
+    """Whether a side with the measured ``rows`` and ``nbytes`` may be broadcast (``max_rows`` None/0: never)."""
+    return bool(max_rows) and max_rows > 0 and rows <= max_rows and nbytes <= max_bytes
+
+
+def materialize(df: DataFrame) -> tuple[DataFrame, int, int]:
+    """Write ``df`` to the shared checkpoint folder; return it with its row count and size in bytes.
 
-    The count is observed while the checkpoint is written, so the size proof
-    needs no separate pass over the input (the write re-reads only the final
-    shuffle output).  The result reads the checkpoint files, which also cuts
-    the lineage (a lost executor does not recompute it).
+    Both figures are observed while the checkpoint is written, so the size
+    proof needs no separate pass over the input (the write re-reads only the
+    final shuffle output).  The result reads the checkpoint files, which also
+    cuts the lineage (a lost executor does not recompute it).
     """
     ensure_checkpoint_dir(df.sparkSession)
     seen = Observation()
-    saved = df.observe(seen, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-    return saved, int(seen.get["rows"])
+    saved = df.observe(seen, *_size_aggregates(df)).checkpoint(eager=True)
+    got = seen.get
+    return saved, int(got["rows"]), int(got["bytes"])
 
 
 def checked_broadcast(
-    df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, cut_lineage: bool = False
+    df: DataFrame,
+    max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+    cut_lineage: bool = False,
+    max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Return ``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
+    """Return ``broadcast(df)`` if ``df`` measures at most ``max_rows`` rows and ``max_bytes`` bytes, else ``df``.
 
-    The count is one distributed aggregate (partial counts per task, no rows
-    move).  With ``cut_lineage`` the side is first written to the shared
-    checkpoint folder and counted in the same job, so an expensive side is
+    The measurement is one distributed aggregate (partial sums per task, no
+    rows move).  With ``cut_lineage`` the side is first written to the shared
+    checkpoint folder and measured in the same job, so an expensive side is
     computed once for both the size check and the join.
     """
-    bounded = max_rows is not None and max_rows > 0
     if cut_lineage:
-        df, n = materialize(df)
-    elif bounded:
-        n = df.count()
-    return F.broadcast(df) if bounded and n <= max_rows else df
+        df, n, nbytes = materialize(df)
+    elif max_rows:
+        got = df.agg(*_size_aggregates(df)).first()
+        n, nbytes = int(got["rows"]), int(got["bytes"])
+    else:
+        return df
+    return F.broadcast(df) if broadcastable(n, nbytes, max_rows, max_bytes) else df
