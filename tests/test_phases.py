@@ -38,8 +38,7 @@ def test_recommended_config_scales_with_input(spark):
 
 
 def test_runtime_broadcast_from_measured_size(spark):
-    from shopsignal.operators import affinity, campaign, clean
-
+    from shopsignal.operators import campaign, clean
     from shopsignal.plans import config
 
     settings = config.recommended(10 * 1024**2)
