@@ -35,7 +35,11 @@ def item_index(profiles: DataFrame) -> DataFrame:
 
 
 def publish_profiles(profiles: DataFrame, path: str, n_partitions: int | None = None) -> dict[str, str]:
-    """K8: replace the store at ``path`` with ``profiles`` and its two lookup tables."""
+    """K8: replace the store at ``path`` with ``profiles`` and its two lookup tables.
+
+    The lookup tables are derived from the written ``profiles`` table, so a
+    computed profile plan runs once, not once per table.
+    """
     root = path.rstrip("/")
     out = {
         "profiles": f"{root}/profiles",
@@ -43,6 +47,7 @@ def publish_profiles(profiles: DataFrame, path: str, n_partitions: int | None =
         "by_item": f"{root}/by_item",
     }
     clustered(profiles, "user_id", n_partitions).write.mode("overwrite").parquet(out["profiles"])
+    profiles = profiles.sparkSession.read.parquet(out["profiles"])
     # A category or item can be shared by a third of all users: range on (key, user_id).
     by_category = clustered(category_index(profiles), "category", n_partitions, then="user_id")
     by_category.write.mode("overwrite").parquet(out["by_category"])
