@@ -18,46 +18,36 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import parse_metadata
-from ..operators import abandonment, affinity, basket, campaign, clean, quality, recommend, store
+from ..operators import abandonment, affinity, basket, campaign, quality, recommend, store
 from ..operators.clean import coerce_types, keep_condition
 from ..schemas import CART, PURCHASE, VIEW
 from ..sources import files
 
 
-def quality_report(raw: DataFrame) -> DataFrame:
-    """A1-A5 in a single scan of the raw logs (the reference runs one job per figure).
-
-    One row: ``n_rows``, ``n_columns``, ``null_<column>`` per raw column,
-    ``clean_rows``, ``dropped_rows``, ``views``, ``carts``, ``purchases``,
-    ``n_event_types`` (distinct types among clean rows) and ``reconciles``.
-
-    The types themselves are ``quality.distinct_values`` (A4), a distributed
-    DataFrame: gathering them into this one row would put every distinct
-    value, however many the raw data holds, into a single task.  A single
-    ``count_distinct`` beside plain aggregates is planned as a shuffle on the
-    type, so each task counts only its share of the values.
-    """
-    parsed = parse_metadata(coerce_types(raw))
+def _quality_aggregates(raw_columns: list[str]) -> list[Column]:
+    """The report's plain aggregates over parsed raw rows (no distinct, so they also work in ``observe``)."""
     keep = keep_condition()
     et = F.col("event_type")
-    agg = parsed.agg(
+    return [
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"null_{c}") for c in raw.columns],
+        *[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"null_{c}") for c in raw_columns],
         F.count_if(keep).alias("clean_rows"),
         F.count_if(keep & (et == VIEW)).alias("views"),
         F.count_if(keep & (et == CART)).alias("carts"),
         F.count_if(keep & (et == PURCHASE)).alias("purchases"),
-        F.count_distinct(F.when(keep, et)).alias("n_event_types"),
-    )
+    ]
+
+
+def _report(figures: DataFrame, raw_columns: list[str]) -> DataFrame:
     typed = F.col("views") + F.col("carts") + F.col("purchases")
-    return agg.select(
+    return figures.select(
         "n_rows",
-        F.lit(len(raw.columns)).alias("n_columns"),
-        *[f"null_{c}" for c in raw.columns],
+        F.lit(len(raw_columns)).alias("n_columns"),
+        *[f"null_{c}" for c in raw_columns],
         "clean_rows",
         (F.col("n_rows") - F.col("clean_rows")).alias("dropped_rows"),
         "views",
@@ -68,6 +58,24 @@ def quality_report(raw: DataFrame) -> DataFrame:
     )
 
 
+def quality_report(raw: DataFrame) -> DataFrame:
+    """A1-A5 in a single scan of the raw logs (the reference runs one job per figure).
+
+    One row: ``n_rows``, ``n_columns``, ``null_<column>`` per raw column,
+    ``clean_rows``, ``dropped_rows``, ``views``, ``carts``, ``purchases``,
+    ``n_event_types`` (distinct types among clean rows) and ``reconciles``.
+
+    The types themselves are ``quality.distinct_values`` (A4), a distributed
+    DataFrame: gathering them into this one row would put every distinct
+    value, however many the raw data holds, into a single task.  A single
+    ``count_distinct`` beside plain aggregates is planned as a shuffle on the
+    type, so each task counts only its share of the values.
+    """
+    parsed = parse_metadata(coerce_types(raw))
+    n_types = F.count_distinct(F.when(keep_condition(), F.col("event_type"))).alias("n_event_types")
+    return _report(parsed.agg(*_quality_aggregates(raw.columns), n_types), raw.columns)
+
+
 def _paths(out: str) -> dict[str, str]:
     root = out.rstrip("/")
     names = ["cleaned_logs", "market_basket", "affinity_scores", "user_profiles", "store", "campaign",
@@ -76,10 +84,26 @@ def _paths(out: str) -> dict[str, str]:
 
 
 def clean_and_basket(raw: DataFrame, out: str, n_partitions: int | None = None) -> dict[str, str]:
+    """Phase 1 with one pass over the raw logs.
+
+    The quality report's figures are observed on the parsed rows while the
+    cleaned logs are written (``observe``), so the raw input, the biggest
+    table of the whole run, is read once rather than once more for the
+    report.  Only the distinct event-type count, which ``observe`` cannot
+    take, is read from the written ``event_type`` column.
+    """
     p = _paths(out)
-    files.write_json(quality_report(raw), p["reports/quality"])
-    files.write_parquet(clean.clean_logs(raw), p["cleaned_logs"], n_partitions)
-    cleaned = files.read_clean_parquet(raw.sparkSession, p["cleaned_logs"])
+    spark = raw.sparkSession
+    parsed = parse_metadata(coerce_types(raw))
+    seen = Observation()
+    observed = parsed.observe(seen, *_quality_aggregates(raw.columns)).filter(keep_condition())
+    files.write_parquet(observed, p["cleaned_logs"], n_partitions)
+    cleaned = files.read_clean_parquet(spark, p["cleaned_logs"])
+    figures = dict(seen.get)
+    figures["n_event_types"] = cleaned.agg(F.count_distinct("event_type")).first()[0]
+    schema = ", ".join(f"`{k}` bigint" for k in figures)
+    files.write_json(_report(spark.createDataFrame([tuple(figures.values())], schema), raw.columns),
+                     p["reports/quality"])
     files.write_csv(basket.market_basket_pairs(cleaned), p["market_basket"])
     return p
 

@@ -89,3 +89,15 @@ def test_cli_single_line_splits_one_big_raw_file(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_phase1_report_observed_during_the_write_equals_the_one_pass_report(spark):
+    from shopsignal.sources import files
+
+    raw = fixtures.raw_logs(spark, SF_SMALL)
+    out = scratch_path(spark, "phase1")
+    p = phases.clean_and_basket(raw, out)
+    got = spark.read.json(p["reports/quality"]).first().asDict()
+    want = phases.quality_report(raw).first().asDict()
+    assert got == want and got["clean_rows"] == 732
+    assert files.read_clean_parquet(spark, p["cleaned_logs"]).count() == 732
