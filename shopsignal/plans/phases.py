@@ -7,7 +7,7 @@ Phase outputs are written tables, so each phase reads its input from shared
 storage (and a lost executor only recomputes from the last written table):
 
 1. ``clean_and_basket``  raw CSV -> ``cleaned_logs`` (Parquet), ``market_basket`` (CSV + header),
-   plus a one-pass quality report (``reports/quality``).
+   plus the quality report (``reports/quality``), observed during the same pass.
 2. ``profiles``          cleaned logs + pairs -> ``affinity_scores`` (Parquet), ``user_profiles`` (JSON).
 3. ``store``             profiles JSON -> profile store (three clustered Parquet tables).
 4. ``campaign``          cleaned logs + store -> ``campaign`` (Parquet); ``abandoned_items`` (CSV).
