@@ -26,6 +26,7 @@ from ..operators import abandonment, affinity, basket, campaign, quality, recomm
 from ..operators.clean import coerce_types, keep_condition
 from ..schemas import CART, PURCHASE, VIEW
 from ..sources import files
+from .layout import round_robin
 
 
 def _quality_aggregates(raw_columns: list[str]) -> list[Column]:
@@ -91,13 +92,18 @@ def clean_and_basket(raw: DataFrame, out: str, n_partitions: int | None = None)
     table of the whole run, is read once rather than once more for the
     report.  Only the distinct event-type count, which ``observe`` cannot
     take, is read from the written ``event_type`` column.
+
+    The optional round-robin to ``n_partitions`` comes *before* the
+    observation, so the figures are always taken in the write's final stage,
+    where Spark applies each task's update exactly once.  In a shuffle-map
+    stage a stage re-run after a lost executor could count rows twice.
     """
     p = _paths(out)
     spark = raw.sparkSession
-    parsed = parse_metadata(coerce_types(raw))
+    parsed = round_robin(parse_metadata(coerce_types(raw)), n_partitions)
     seen = Observation()
     observed = parsed.observe(seen, *_quality_aggregates(raw.columns)).filter(keep_condition())
-    files.write_parquet(observed, p["cleaned_logs"], n_partitions)
+    files.write_parquet(observed, p["cleaned_logs"])
     cleaned = files.read_clean_parquet(spark, p["cleaned_logs"])
     figures = dict(seen.get)
     figures["n_event_types"] = cleaned.agg(F.count_distinct("event_type")).first()[0]

@@ -101,3 +101,14 @@ def test_phase1_report_observed_during_the_write_equals_the_one_pass_report(spar
     want = phases.quality_report(raw).first().asDict()
     assert got == want and got["clean_rows"] == 732
     assert files.read_clean_parquet(spark, p["cleaned_logs"]).count() == 732
+
+
+def test_phase1_report_with_round_robin_files(spark):
+    # the round-robin to n files runs before the observation (see clean_and_basket)
+    from shopsignal.sources import files
+
+    raw = fixtures.raw_logs(spark, SF_SMALL)
+    p = phases.clean_and_basket(raw, scratch_path(spark, "phase1_n"), n_partitions=3)
+    assert spark.read.json(p["reports/quality"]).first().asDict() == phases.quality_report(raw).first().asDict()
+    assert files.read_clean_parquet(spark, p["cleaned_logs"]).count() == 732
+    assert len(spark.read.parquet(p["cleaned_logs"]).inputFiles()) <= 3
