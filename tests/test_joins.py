@@ -30,3 +30,13 @@ def test_materialize_measures_rows_and_bytes(spark):
     saved, n, nbytes = joins.materialize(df)
     assert n == 2 and nbytes == (16 + 8 + 3) + (16 + 8 + 2)
     assert sorted(r.s for r in saved.collect()) == ["abc", "de"]
+
+
+def test_key_bucket_forms_the_same_groups(spark):
+    data = [(None if i % 11 == 0 else f"K{i % 37}", i) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, v long")
+    plain = sorted((r.k or "", r.n, r.s) for r in df.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).collect())
+    bucketed = sorted((r.k or "", r.n, r.s) for r in df.groupBy("k", joins.key_bucket("k")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")).collect())
+    assert bucketed == plain and len(plain) == 38  # 37 keys and the null key
