@@ -5,6 +5,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
+from shopsignal.registry import ORACLE, QUERIES  # noqa: E402
 
 
 def test_entry_runs(spark):
@@ -14,7 +15,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_all_queries_match_oracle_small(spark):
@@ -22,8 +25,8 @@ def test_all_queries_match_oracle_small(spark):
 
     con = oracle_connection(SF_SMALL)
     bad = []
-    for key, fn in E.queries().items():
-        line = compare(spark, con, SF_SMALL, key, fn, E.oracle_sql()[key])
+    for key, fn in QUERIES.items():
+        line = compare(spark, con, SF_SMALL, key, fn, ORACLE[key])
         if not line.startswith("OK"):
             bad.append(line)
     assert not bad, "\n".join(bad)
