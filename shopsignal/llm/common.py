@@ -65,3 +65,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text_hash") -> tuple[Column, Column]:
+    """Columns ``(r, sub)`` that cut the ascending order (``key`` nulls last, ``tie``) into contiguous buckets.
+
+    ``key`` and ``tie`` are long columns.  ``n`` cut points of the key come
+    from one aggregate of that column, so about ``2 n`` buckets hold near
+    equal rows.  Rows equal to a cut point have a bucket of their own, cut
+    again by the top six bits of ``tie``, so a key that many rows share (or a
+    null one) spreads too.
+    """
+    cuts = docs.agg(F.percentile_approx(key, [(i + 1) / (n + 1) for i in range(n)], 10_000).alias("c")).first()["c"]
+    cuts = sorted(set(cuts or []))
+    k = F.col(key)
+    if cuts:
+        below = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < k))
+        r = F.when(k.isNull(), 2 * len(cuts) + 1).otherwise(2 * below + F.when(k.isin(cuts), 1).otherwise(0))
+    else:
+        r = F.when(k.isNull(), 1).otherwise(0)
+    # Shifted, the signed hash keeps its order.
+    sub = F.when(r % 2 == 1, F.shiftright(F.col(tie), 58) + 32).otherwise(0)
+    return r.cast("int"), sub.cast("int")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, split_words, text_or_empty, window_hashes
+from .common import ascii_lower, order_buckets, split_words, text_or_empty, window_hashes
 
 K = 128
 SHINGLE = 5
@@ -75,26 +75,6 @@ def fingerprint(df: DataFrame, text: str, out: str, k: int = K) -> DataFrame:
 
 
 # ---------------------------------------------------------------- the next document
-def _buckets(docs: DataFrame, n: int) -> tuple[Column, Column]:
-    """Columns ``(r, sub)`` that cut the order (doc_id, text hash, text) into contiguous buckets.
-
-    ``n`` cut points of doc_id come from one aggregate of that column.  Rows
-    equal to a cut point have a bucket of their own, cut again by text hash,
-    so an id that many rows share (or null) spreads too.
-    """
-    cuts = docs.agg(F.percentile_approx("doc_id", [(i + 1) / (n + 1) for i in range(n)], 10_000).alias("c")).first()["c"]
-    cuts = sorted(set(cuts or []))
-    if cuts:
-        below = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < F.col("doc_id")))
-        at = F.col("doc_id").isin(cuts)
-        r = F.when(F.col("doc_id").isNull(), 2 * len(cuts) + 1).otherwise(2 * below + F.when(at, 1).otherwise(0))
-    else:
-        r = F.when(F.col("doc_id").isNull(), 1).otherwise(0)
-    # The text hash is ordered as signed; its top six bits, shifted, keep that order.
-    sub = F.when(r % 2 == 1, F.shiftright(F.col("text_hash"), 58) + 32).otherwise(0)
-    return r.cast("int"), sub.cast("int")
-
-
 def with_next_text(docs: DataFrame) -> DataFrame:
     """``(doc_id, text, next_text, <order columns>)``: each text beside the next in ascending doc_id order.
 
@@ -107,7 +87,7 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r, sub = _buckets(docs, n)
+    r, sub = order_buckets(docs, n)
     docs = docs.withColumns({"r": r, "sub": sub})
     # Of each bucket the first row's key: at most a few rows per cut point.
     firsts = docs.groupBy("r", "sub").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import fingerprints, quality_rules, sharding
+from . import fingerprints, packing, quality_rules, sharding, token_files
 
 QUERIES = {
+    "op2_token_files": token_files.query,
+    "op5_best_fit_packing": packing.query,
     "op6_quality_rules": quality_rules.query,
     "op8_sharding": sharding.query,
     "op10_document_fingerprints": fingerprints.query,
