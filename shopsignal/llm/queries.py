@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import fingerprints, packing, quality_rules, sharding, token_files
+from . import bpe, fingerprints, packing, quality_rules, sharding, token_files
 
 QUERIES = {
     "op2_token_files": token_files.query,
     "op5_best_fit_packing": packing.query,
     "op6_quality_rules": quality_rules.query,
     "op8_sharding": sharding.query,
+    "op9_bpe_codec": bpe.query,
     "op10_document_fingerprints": fingerprints.query,
 }
 
