@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, packing, quality_rules, sharding, token_files
+from . import bpe, fingerprints, packing, quality_rules, sharding, simhash, token_files
 
 QUERIES = {
     "op2_token_files": token_files.query,
     "op5_best_fit_packing": packing.query,
     "op6_quality_rules": quality_rules.query,
+    "op7_simhash_near_dedup": simhash.query,
     "op8_sharding": sharding.query,
     "op9_bpe_codec": bpe.query,
     "op10_document_fingerprints": fingerprints.query,
