@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import text_or_empty
-from .tokens import MAX_CACHED_UNITS, UNIT, in_chunks, vocabulary
+from .tokens import MAX_CACHED_UNITS, UNIT, byte_alphabet, in_chunks, vocabulary
 
 SCAN_BYTES = 256
 # Fixed value: the vocabulary's own pattern for pre-tokens.
@@ -37,18 +37,6 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _NONE = 1 << 60  # no merge
 
 
-def byte_alphabet() -> list[str]:
-    """The printable character that stands for each byte in the vocabulary file."""
-    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    out, extra = [""] * 256, 256
-    for b in range(256):
-        if b in shown:
-            out[b] = chr(b)
-        else:
-            out[b], extra = chr(extra), extra + 1
-    return out
-
-
 class RankBpe:
     def __init__(self, path: str, max_units: int = MAX_CACHED_UNITS):
         with open(path, encoding="utf-8") as f:

@@ -28,7 +28,7 @@ from .common import text_or_empty, written
 from .tokens import encoder, in_chunks, vocabulary
 
 CAPACITY = 2048
-RANK_BUCKETS = 256  # equal lengths are numbered in so many parts
+RANK_BUCKETS = 64  # equal lengths are numbered in so many parts
 
 
 class OpenBins:

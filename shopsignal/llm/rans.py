@@ -37,7 +37,9 @@ class Block(NamedTuple):
 
 def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(symbols, freqs)``: the distinct ids, ascending, and frequencies that sum to 2**SCALE, each at least 1."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    counts = counts[symbols]
     if len(symbols) > 1 << (SCALE - 1):
         raise ValueError("too many distinct ids for this scale")
     freqs = np.maximum(1, counts * (1 << SCALE) // counts.sum()).astype(np.int64)
@@ -85,7 +87,9 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[Block]]:
     ids = np.ascontiguousarray(ids, "<u4")
     symbols, freqs = frequency_table(ids)
     f, starts = freqs.astype(np.uint64), _starts(freqs)
-    syms = np.searchsorted(symbols, ids).astype(np.int64)
+    number = np.zeros(int(symbols[-1]) + 1, np.int64)
+    number[symbols] = np.arange(len(symbols))
+    syms = number[ids]
     full = len(ids) // BLOCK
     coded = list(_encode_alike(syms[: full * BLOCK].reshape(full, STEPS, LANES), f, starts)) if full else []
     if rest := len(ids) - full * BLOCK:

@@ -4,7 +4,10 @@ White space ends every pre-token of the two vocabularies used here, so a
 text's ids are the ids of its units (a run without white space with the space
 before it, or a run of white space) put together.  Texts repeat their units
 often; each worker encodes a unit once and keeps the ids in a bounded cache.
-A text that contains the string of a special token is encoded whole.
+Most units are a plain word, perhaps with a full stop or comma: its
+normalised letters go straight to the library's model, as one pre-token.  All
+others go through the whole library, many to a call.  A text that contains
+the string of a special token is encoded whole.
 """
 
 from __future__ import annotations
@@ -12,14 +15,28 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 
 import numpy as np
 
-MAX_CACHED_UNITS = 1_000_000  # about 200 MB
+MAX_CACHED_UNITS = 250_000  # in each of two generations; about 100 MB together
 UNITS_A_CALL = 512
 # Characters of \s in the vocabularies' own patterns.
-_SPACE = "\t-\r \x85\xa0  -     　"
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+PLAIN = re.compile(r"( ?[^\W\d_]+)([.,]?)")
+
+
+def byte_alphabet() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("\xa1"), ord("\xac") + 1), *range(ord("\xae"), ord("\xff") + 1)]
+    out, extra = [""] * 256, 256
+    for b in range(256):
+        if b in shown:
+            out[b] = chr(b)
+        else:
+            out[b], extra = chr(extra), extra + 1
+    return out
 
 
 class UnitEncoder:
@@ -33,21 +50,25 @@ class UnitEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         with open(path, encoding="utf-8") as f:
-            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
+            spec = json.load(f)
+        self.special = [t["content"] for t in spec["added_tokens"]]
+        # Whether the space before a word is part of its pre-token.
+        self.keeps_space = "\u0120the" in spec["model"]["vocab"]
+        self.letters = dict(enumerate(byte_alphabet()))
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.separator = self.special[-1] if self.special else None
         self.separator_id = self.tokenizer.token_to_id(self.separator) if self.separator else -1
         self.max_units = max_units
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, units: list[str]) -> None:
-        """Encode units into the cache, many to a call with a special token between them."""
+    def _other_units(self, units: list[str]) -> None:
+        """Encode units through the whole library, with a special token between them."""
         if self.separator is None:
-            for u in units:
-                self.cache[u] = self._whole(u)
+            self.cache.update((u, self._whole(u)) for u in units)
             return
         for i in range(0, len(units), UNITS_A_CALL):
             part = units[i:i + UNITS_A_CALL]
@@ -62,17 +83,48 @@ class UnitEncoder:
             for u, a, b in zip(part, begins, ends):
                 self.cache[u] = raw[a:b]
 
+    def _learn(self, units: set[str]) -> None:
+        others: list[str] = []
+        plain, model, normalizer = PLAIN.fullmatch, self.tokenizer.model.tokenize, self.tokenizer.normalizer
+        letters, width, words = self.letters, self.dtype.itemsize, {}
+        points = {c: self._whole(c) for c in ".,"} | {"": b""}
+        for u in units:
+            m = plain(u)
+            if not m:
+                others.append(u)
+                continue
+            word, point = m.groups()
+            ids = words.get(word)
+            if ids is None:
+                bare = word.lstrip(" ")
+                if not (bare.isascii() or unicodedata.is_normalized("NFC", bare)) or not bare.isalpha():
+                    others.append(u)
+                    continue
+                token = word if self.keeps_space else bare
+                if normalizer is not None:
+                    token = normalizer.normalize_str(token)
+                    if not token.isalpha():
+                        others.append(u)
+                        continue
+                token = token.encode().decode("latin-1").translate(letters)
+                words[word] = ids = b"".join([t.id.to_bytes(width, "little") for t in model(token)])
+            self.cache[u] = ids + points[point]
+        self._other_units(others)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         units = [None if any(s in t for s in self.special) else UNIT.findall(t) for t in texts]
-        new: set[str] = set()
+        wanted: set[str] = set()
         for u in units:
             if u:
-                new.update(u)
-        if len(self.cache) + len(new) > self.max_units:
-            self.cache.clear()
-        else:
-            new.difference_update(self.cache)
-        self._learn(list(new))
+                wanted.update(u)
+        if len(self.cache) > self.max_units:  # the generation before goes; what is still used comes along
+            self.older, self.cache = self.cache, {}
+        wanted.difference_update(self.cache)
+        if self.older:
+            known = wanted.intersection(self.older)
+            self.cache.update((u, self.older[u]) for u in known)
+            wanted -= known
+        self._learn(wanted)
         get = self.cache.__getitem__
         return [self._whole(t) if u is None else b"".join(map(get, u)) for t, u in zip(texts, units)]
 
