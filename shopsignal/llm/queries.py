@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, packing, quality_rules, sharding, simhash, token_files
+from . import (
+    bpe, fingerprints, packing, quality_classifier, quality_rules, sharding, simhash, token_files, toxicity,
+)
 
 QUERIES = {
+    "op1_toxicity": toxicity.query,
     "op2_token_files": token_files.query,
+    "op3_quality_classifier": quality_classifier.query,
     "op5_best_fit_packing": packing.query,
     "op6_quality_rules": quality_rules.query,
     "op7_simhash_near_dedup": simhash.query,
