@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from . import (
-    bpe, fingerprints, packing, quality_classifier, quality_rules, sharding, simhash, token_files, toxicity,
+    bpe, fingerprints, lm_scoring, packing, quality_classifier, quality_rules, sharding, simhash, token_files,
+    toxicity,
 )
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_token_files": token_files.query,
     "op3_quality_classifier": quality_classifier.query,
+    "op4_lm_scoring": lm_scoring.query,
     "op5_best_fit_packing": packing.query,
     "op6_quality_rules": quality_rules.query,
     "op7_simhash_near_dedup": simhash.query,
