@@ -4,10 +4,10 @@ White space ends every pre-token of the two vocabularies used here, so a
 text's ids are the ids of its units (a run without white space with the space
 before it, or a run of white space) put together.  Texts repeat their units
 often; each worker encodes a unit once and keeps the ids in a bounded cache.
-Most units are a plain word, perhaps with a full stop or comma: its
-normalised letters go straight to the library's model, as one pre-token.  All
-others go through the whole library, many to a call.  A text that contains
-the string of a special token is encoded whole.
+Most units are a plain word of Latin-1 letters, perhaps with a full stop or
+comma: for the two known kinds of vocabulary it goes straight to the library's
+model, as one pre-token.  All others go through the whole library, many to a
+call.  A text that contains the string of a special token is encoded whole.
 """
 
 from __future__ import annotations
@@ -15,16 +15,19 @@ from __future__ import annotations
 import json
 import os
 import re
-import unicodedata
 
 import numpy as np
 
-MAX_CACHED_UNITS = 250_000  # in each of two generations; about 100 MB together
+MAX_CACHED_UNITS = 500_000  # in each of two generations; about 200 MB together
 UNITS_A_CALL = 512
 # Characters of \s in the vocabularies' own patterns.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-PLAIN = re.compile(r"( ?[^\W\d_]+)([.,]?)")
+# White space to str.split(), but not to the vocabularies.
+_CONTROLS = re.compile("[\x1c-\x1f]")
+_LATIN_1 = "\u0100"  # the first character beyond it
+# The normalisers under which a word of Latin-1 letters is just itself, or itself in lower case.
+_LOWER_CASE = ["NFC", "Replace", "Lowercase"]
 
 
 def byte_alphabet() -> list[str]:
@@ -52,10 +55,15 @@ class UnitEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        # Whether the space before a word is part of its pre-token.
-        self.keeps_space = "\u0120the" in spec["model"]["vocab"]
+        normalizer, splitter = spec["normalizer"], spec["pre_tokenizer"] or {}
+        kinds = [n["type"] for n in (normalizer or {}).get("normalizers", [normalizer] if normalizer else [])]
+        byte_level = [x["type"] for x in splitter.get("pretokenizers", [splitter])][-1:] == ["ByteLevel"]
+        # Words in lower case, white space dropped; or words as they are, each with the space before it.
+        self.lowers = byte_level and kinds == _LOWER_CASE
+        self.keeps_space = byte_level and not kinds and splitter.get("use_regex", False) and not splitter["add_prefix_space"]
         self.letters = dict(enumerate(byte_alphabet()))
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        self.id_bytes = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
         self.separator = self.special[-1] if self.special else None
         self.separator_id = self.tokenizer.token_to_id(self.separator) if self.separator else -1
         self.max_units = max_units
@@ -84,35 +92,45 @@ class UnitEncoder:
                 self.cache[u] = raw[a:b]
 
     def _learn(self, units: set[str]) -> None:
+        if not (self.lowers or self.keeps_space):
+            self._other_units(list(units))
+            return
         others: list[str] = []
-        plain, model, normalizer = PLAIN.fullmatch, self.tokenizer.model.tokenize, self.tokenizer.normalizer
-        letters, width, words = self.letters, self.dtype.itemsize, {}
-        points = {c: self._whole(c) for c in ".,"} | {"": b""}
+        cache, model, id_bytes, letters, lowers = (
+            self.cache, self.tokenizer.model.tokenize, self.id_bytes, self.letters, self.lowers)
+        space = letters[ord(" ")]
+        points = {c: self._whole(c) for c in ".,"}
         for u in units:
-            m = plain(u)
-            if not m:
-                others.append(u)
-                continue
-            word, point = m.groups()
-            ids = words.get(word)
-            if ids is None:
-                bare = word.lstrip(" ")
-                if not (bare.isascii() or unicodedata.is_normalized("NFC", bare)) or not bare.isalpha():
+            spaced = u[0] == " "
+            word, point = u[1:] if spaced else u, ""
+            if not word.isalpha():
+                word, point = word[:-1], word[-1:]
+                if point not in points or not word.isalpha():
                     others.append(u)
                     continue
-                token = word if self.keeps_space else bare
-                if normalizer is not None:
-                    token = normalizer.normalize_str(token)
-                    if not token.isalpha():
-                        others.append(u)
-                        continue
-                token = token.encode().decode("latin-1").translate(letters)
-                words[word] = ids = b"".join([t.id.to_bytes(width, "little") for t in model(token)])
-            self.cache[u] = ids + points[point]
+            ascii_only = word.isascii()
+            if not ascii_only and max(word) >= _LATIN_1:
+                others.append(u)
+                continue
+            if lowers:
+                word = word.lower()
+            if not ascii_only:
+                word = word.encode().decode("latin-1").translate(letters)
+            if spaced and not lowers:
+                word = space + word
+            ids = b"".join([id_bytes[t.id] for t in model(word)])
+            cache[u] = ids + points[point] if point else ids
         self._other_units(others)
 
+    def _units(self, text: str) -> list[str] | None:
+        """The units of a text; None if it has to be encoded whole."""
+        if any(s in text for s in self.special):
+            return None
+        # Where white space is dropped, words alone are units.
+        return text.split() if self.lowers and not _CONTROLS.search(text) else UNIT.findall(text)
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        units = [None if any(s in t for s in self.special) else UNIT.findall(t) for t in texts]
+        units = [self._units(t) for t in texts]
         wanted: set[str] = set()
         for u in units:
             if u:
