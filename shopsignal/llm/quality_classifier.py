@@ -101,11 +101,9 @@ def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
     return run(text_or_empty(text))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose score reaches the threshold, with exactly the columns of ``docs``."""
-    spark = docs.sparkSession
-    model = train(docs, labels)
-    return docs.filter(score_column(spark, model, F.col(f"`{text}`")) >= threshold)
+    return docs.filter(score_column(docs.sparkSession, model, F.col(f"`{text}`")) >= threshold)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

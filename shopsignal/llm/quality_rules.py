@@ -144,11 +144,14 @@ def with_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
 
 def keep_good(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``df`` whose text passes, with exactly the columns of ``df``."""
-    # The verdict gets a name no column has, so columns called like a count survive.
-    copy = fresh_name(df, "__qr_input")
-    flagged = with_rules(df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(copy),
-                                   F.col(f"`{text}`").alias("text")), "text", rules)
-    return flagged.filter("kept").select(*[F.col(copy).getField(c).alias(c) for c in df.columns])
+    # The row goes along as one value, so columns called like a figure survive.
+    row, place = fresh_name(df, "__qr_row"), fresh_name(df, "__qr_place")
+    flagged = with_rules(
+        df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row), F.col(f"`{text}`").alias("text")), "text", rules)
+    # A filter on the verdict alone would be pushed through the projections, with each figure written out again
+    # wherever it is used; it stays above them when it also asks for a row number that is always there.
+    numbered = flagged.select(row, "kept", F.monotonically_increasing_id().alias(place))
+    return numbered.filter(F.col("kept") & (F.col(place) >= 0)).select(*[F.col(row).getField(c).alias(c) for c in df.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
