@@ -43,7 +43,7 @@ WORD = re.compile(r"[^\W\d_]+")
 STEM = 4  # letters
 DISCOUNT = 2.0
 THRESHOLD = 0.7
-MAX_PER_CLASS = {0: 8000, 1: 4000}
+MAX_PER_CLASS = {0: 5000, 1: 2500}
 
 
 def expressions(text: str) -> list[str]:
