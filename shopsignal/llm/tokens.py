@@ -3,11 +3,11 @@
 White space ends every pre-token of the two vocabularies used here, so a
 text's ids are the ids of its units (a run without white space with the space
 before it, or a run of white space) put together.  Texts repeat their units
-often; each worker encodes a unit once and keeps the ids in a bounded cache.
-Most units are a plain word of Latin-1 letters, perhaps with a full stop or
-comma: for the two known kinds of vocabulary it goes straight to the library's
-model, as one pre-token.  All others go through the whole library, many to a
-call.  A text that contains the string of a special token is encoded whole.
+often; each worker encodes a unit when it first meets it and keeps the ids in a
+bounded cache.  Most units are a word of Latin-1 letters, perhaps with marks
+behind it: for the two known kinds of vocabulary the word goes straight to the
+library's model, as one pre-token.  All others go through the whole library.
+A text that contains the string of a special token is encoded whole.
 """
 
 from __future__ import annotations
@@ -19,13 +19,15 @@ import re
 import numpy as np
 
 MAX_CACHED_UNITS = 500_000  # in each of two generations; about 200 MB together
-UNITS_A_CALL = 512
 # Characters of \s in the vocabularies' own patterns.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 # White space to str.split(), but not to the vocabularies.
+_WIDE_SPACE = re.compile("[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _CONTROLS = re.compile("[\x1c-\x1f]")
 _LATIN_1 = "\u0100"  # the first character beyond it
+# Marks that form one pre-token behind a word: not the apostrophe, which may begin a contraction.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 # The normalisers under which a word of Latin-1 letters is just itself, or itself in lower case.
 _LOWER_CASE = ["NFC", "Replace", "Lowercase"]
 
@@ -64,87 +66,93 @@ class UnitEncoder:
         self.letters = dict(enumerate(byte_alphabet()))
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.id_bytes = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
-        self.separator = self.special[-1] if self.special else None
-        self.separator_id = self.tokenizer.token_to_id(self.separator) if self.separator else -1
-        self.max_units = max_units
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.plain, self.spaced = _Units(self, "", max_units), _Units(self, " ", max_units)
+        self.line_end = self.whole("\n")
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _other_units(self, units: list[str]) -> None:
-        """Encode units through the whole library, with a special token between them."""
-        if self.separator is None:
-            self.cache.update((u, self._whole(u)) for u in units)
-            return
-        for i in range(0, len(units), UNITS_A_CALL):
-            part = units[i:i + UNITS_A_CALL]
-            (found,) = self.tokenizer.encode_batch_fast([self.separator.join(part)], add_special_tokens=False)
-            ids = np.array(found.ids, self.dtype)
-            cuts = np.flatnonzero(ids == self.separator_id)
-            if len(cuts) != len(part) - 1:
-                raise ValueError("a unit holds the separator")
-            raw, width = ids.tobytes(), self.dtype.itemsize
-            begins = [0, *((cuts + 1) * width).tolist()]
-            ends = [*(cuts * width).tolist(), len(raw)]
-            for u, a, b in zip(part, begins, ends):
-                self.cache[u] = raw[a:b]
-
-    def _learn(self, units: set[str]) -> None:
-        if not (self.lowers or self.keeps_space):
-            self._other_units(list(units))
-            return
-        others: list[str] = []
-        cache, model, id_bytes, letters, lowers = (
-            self.cache, self.tokenizer.model.tokenize, self.id_bytes, self.letters, self.lowers)
-        space = letters[ord(" ")]
-        points = {c: self._whole(c) for c in ".,"}
-        for u in units:
-            spaced = u[0] == " "
-            word, point = u[1:] if spaced else u, ""
-            if not word.isalpha():
-                word, point = word[:-1], word[-1:]
-                if point not in points or not word.isalpha():
-                    others.append(u)
-                    continue
-            ascii_only = word.isascii()
-            if not ascii_only and max(word) >= _LATIN_1:
-                others.append(u)
-                continue
-            if lowers:
-                word = word.lower()
-            if not ascii_only:
-                word = word.encode().decode("latin-1").translate(letters)
-            if spaced and not lowers:
-                word = space + word
-            ids = b"".join([id_bytes[t.id] for t in model(word)])
-            cache[u] = ids + points[point] if point else ids
-        self._other_units(others)
-
-    def _units(self, text: str) -> list[str] | None:
-        """The units of a text; None if it has to be encoded whole."""
+    def _text(self, text: str) -> bytes:
         if any(s in text for s in self.special):
-            return None
-        # Where white space is dropped, words alone are units.
-        return text.split() if self.lowers and not _CONTROLS.search(text) else UNIT.findall(text)
+            return self.whole(text)
+        if self.lowers and not _CONTROLS.search(text):  # white space is dropped: words alone are units
+            return b"".join(map(self.plain.__getitem__, text.split()))
+        plain, spaced = self.plain.__getitem__, self.spaced.__getitem__
+        if _single_spaced(text):
+            lines = []
+            for line in text.split("\n"):
+                first, *rest = line.split(" ")
+                lines.append(plain(first) + b"".join(map(spaced, rest)))
+            return self.line_end.join(lines)
+        return b"".join([spaced(u[1:]) if u[0] == " " else plain(u) for u in UNIT.findall(text)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        units = [self._units(t) for t in texts]
-        wanted: set[str] = set()
-        for u in units:
-            if u:
-                wanted.update(u)
-        if len(self.cache) > self.max_units:  # the generation before goes; what is still used comes along
-            self.older, self.cache = self.cache, {}
-        wanted.difference_update(self.cache)
-        if self.older:
-            known = wanted.intersection(self.older)
-            self.cache.update((u, self.older[u]) for u in known)
-            wanted -= known
-        self._learn(wanted)
-        get = self.cache.__getitem__
-        return [self._whole(t) if u is None else b"".join(map(get, u)) for t, u in zip(texts, units)]
+        return [self._text(t) for t in texts]
+
+
+class _Units(dict):
+    """Ids by unit (given without the space that stands before it, if one does), encoded when first asked for.
+
+    There are two generations of at most ``max_units``: what is still used comes along into the next.
+    """
+
+    def __init__(self, encoder: UnitEncoder, space: str, max_units: int):
+        self.whole, self.space, self.max_units = encoder.whole, space, max_units
+        self.direct, self.lowers = encoder.lowers or encoder.keeps_space, encoder.lowers
+        self.model, self.id_bytes, self.letters = encoder.tokenizer.model.tokenize, encoder.id_bytes, encoder.letters
+        self.before = self.letters[ord(" ")] if space and encoder.keeps_space else ""
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self._encode(unit)
+        if len(self) >= self.max_units:
+            self.older = dict(self)
+            self.clear()
+        self[unit] = ids
+        return ids
+
+    def _encode(self, unit: str) -> bytes:
+        if not self.direct:
+            return self.whole(self.space + unit)
+        if not unit.isalpha():
+            word = unit.rstrip(_MARKS)
+            if not word.isalpha():
+                return self.whole(self.space + unit)
+            marks = unit[len(word):]
+            behind = self.marks.get(marks)
+            if behind is None:
+                if len(self.marks) > 10_000:
+                    self.marks.clear()
+                behind = self.marks[marks] = self.whole(marks)
+            return self[word] + behind
+        if unit.isascii():
+            word = unit.lower() if self.lowers else unit
+        elif max(unit) >= _LATIN_1:
+            return self.whole(self.space + unit)
+        else:
+            word = (unit.lower() if self.lowers else unit).encode().decode("latin-1").translate(self.letters)
+        id_bytes = self.id_bytes
+        return b"".join([id_bytes[t.id] for t in self.model(self.before + word)])
+
+
+def _single_spaced(text: str) -> bool:
+    """Whether single spaces and single line ends, never side by side, are all the white space there is."""
+    if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[:1] == " " or text[-1:] == " ":
+        return False
+    if "\t" in text or "\r" in text or "\x0b" in text or "\x0c" in text:
+        return False
+    if text.isascii():
+        return True
+    if "\x85" in text or "\xa0" in text:
+        return False
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:  # beyond Latin-1 there is more white space
+        return not _WIDE_SPACE.search(text)
+    return True
 
 
 _ENCODERS: dict[str, UnitEncoder] = {}
