@@ -8,10 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .plans.joins import checked_broadcast
 from .plans.layout import spread
-from .schemas import RAW
+from .schemas import CLEAN, RAW
+
+# The test logs carry a stable row identity that real logs do not have.
+EVENT_ID = T.StructField("event_id", T.LongType())
+RAW_WITH_ID = T.StructType([*RAW.fields, EVENT_ID])
+CLEAN_WITH_ID = T.StructType([*RAW_WITH_ID.fields, *CLEAN.fields[len(RAW.fields):]])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_logs_from(events: DataFrame, part: DataFrame) -> DataFrame:
-    """The FIXTURES.md mapping as a DataFrame plan (schema ``RAW``)."""
+    """The FIXTURES.md mapping as a DataFrame plan (schema ``RAW_WITH_ID``)."""
     b = spread(events).select(
         "event_id",
         "ts",
@@ -67,7 +73,7 @@ def raw_logs_from(events: DataFrame, part: DataFrame) -> DataFrame:
         ).alias("product_metadata"),
         F.col("event_id"),
     )
-    return out.select([F.col(f.name).cast(f.dataType) for f in RAW.fields])
+    return out.select([F.col(f.name).cast(f.dataType) for f in RAW_WITH_ID.fields])
 
 
 def raw_logs(spark: SparkSession, sf_dir: str) -> DataFrame:

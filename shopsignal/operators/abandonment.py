@@ -5,33 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.joins import key_bucket
 from ..schemas import CART, PURCHASE
 
 ITEM_KEYS = ["user_id", "session_id", "product_id"]
 
-# Build-side rows kept per key at most (see ``_existing_keys``).
-KEY_BUCKETS = 32
-
-
 def purchase_sessions(clean: DataFrame) -> DataFrame:
     """Distinct sessions with at least one purchase."""
     return clean.filter(F.col("event_type") == PURCHASE).select("session_id").distinct()
 
 
-def _existing_keys(purchases: DataFrame, keys: list[str], buckets: int = KEY_BUCKETS) -> DataFrame:
-    """The purchase side of an anti join: each key at most ``buckets`` times.
+def _existing_keys(purchases: DataFrame, keys: list[str]) -> DataFrame:
+    """The purchase side of an anti join: each key once, in a shape that lets AQE split a hot key of the cart side.
 
-    Deduplicating on ``(keys, bucket)`` (bucket = a hash of the row's time, so
-    replays are deterministic) collapses a hot key map-side to ``buckets``
-    rows, and because that aggregate is partitioned on more columns than the
-    join keys, the join gets its own shuffle directly under its sort.  That is
-    the shape AQE's skew-join rule needs to split a hot key on the cart side; a
-    plain ``distinct`` on the keys would feed the join without a shuffle and
-    leave a hot key in one task.  AQE may still turn the join into a broadcast
-    from the measured size of this side.
+    Keys are made distinct together with ``key_bucket`` (see there), so the
+    join shuffles this side by itself and nothing but the keys is read.
     """
-    bucket = F.pmod(F.xxhash64(F.col("timestamp")), F.lit(buckets))
-    return purchases.select(*keys, bucket.alias("_bucket")).distinct().select(*keys)
+    return purchases.select(*keys, key_bucket(*keys)).distinct().select(*keys)
 
 
 def abandoned_items(clean: DataFrame) -> DataFrame:

@@ -6,28 +6,24 @@ over purchases only, for every unordered pair with ``item_1 < item_2``.
 A basket of n items yields n(n-1)/2 pairs, so the output of one basket grows
 quadratically while its input does not: a basket that looks harmless to
 AQE's byte-based skew detection can still emit billions of pairs in one task.
-The plan therefore bounds the pair work of every task explicitly:
-
-1. Basket sizes by a partially aggregated ``groupBy(basket).count()`` on raw
-   rows (an upper bound of distinct items).  The common case, no basket above
-   ``block_size`` rows, is known from that one count and skips step 2.
-2. Otherwise items are deduplicated first (so repeat purchases are never
-   fanned out) and exact distinct counts pick the big baskets.  Each item of a
-   big basket gets a block ``pmod(xxhash64(item), n_blocks)``
-   and is routed to every block pair ``(min(b, j), max(b, j))``; a small basket
-   is the single block pair ``(0, 0)``.  The list of big baskets is cut from
-   lineage with ``checkpoint()`` and broadcast only when its measured rows
-   and bytes are within bounds; beyond that it is joined by shuffle.
-3. One shuffle on ``(basket, lo, hi)`` feeds an equi self-join on
-   ``(basket, lo, hi)`` whose two sides reuse the same exchange (in the common
-   case the key is the basket and the same shuffle also deduplicates): a diagonal group pairs items with ``a < z``, an off-diagonal
-   group pairs block ``lo`` with block ``hi``.  Every group holds about
-   ``2 * block_size`` items at most, and each unordered pair of a basket is
-   produced by exactly one group.
+The plan bounds the pair work of every task, is fully lazy, and has one shape
+at every size:
+
+1. Baskets with more than about ``block_size`` distinct items are found by one
+   partially aggregated sketch count per basket.  Usually there are none, and
+   AQE then drops the join with them.
+2. A big basket's items are cut into blocks by item hash; any other basket is
+   one block.  One shuffle on (basket, block) gathers each block's distinct
+   items (repeats are dropped before it) as one sorted array of about
+   ``block_size`` items.
+3. A block's pairs come straight from its array: every item with those after
+   it, so exactly n(n-1)/2 candidates are made.  Two blocks of a big basket
+   meet by an equi-join on (basket, later block) and pair each item of one with
+   each of the other.
 4. ``groupBy(item_1, item_2).count()`` with map-side partial aggregation.
 
-No rows are dropped or capped; ``min_support`` only filters the final counts
-(default 1 = keep every pair).
+No rows are dropped or capped.  ``min_support`` above 1 first drops items that
+too few baskets hold, which no frequent pair can contain.
 """
 
 from __future__ import annotations
@@ -35,137 +31,84 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcastable, materialize
+from ..plans.joins import key_bucket
+from ..schemas import PURCHASE
 
 DEFAULT_BLOCK_SIZE = 1024
 
 
 def purchase_items(clean: DataFrame, basket: str = "session_id", item: str = "product_id") -> DataFrame:
     """(basket, item) of purchase events."""
-    return clean.filter(F.col("event_type") == "purchase").select(basket, item)
+    return clean.filter(F.col("event_type") == PURCHASE).select(basket, item)
 
 
-def _big_baskets(distinct_items: DataFrame, basket: str, block_size: int) -> tuple[DataFrame, int, int] | None:
-    """``(basket, _nblk)`` for baskets with more than ``block_size`` distinct items (checkpointed), with
-    their number and measured bytes; None if there are none."""
-    sizes = distinct_items.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
-    big = sizes.filter(F.col("_n") > block_size).select(
-        basket, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nblk")
-    )
-    big, n_big, n_bytes = materialize(big)
-    return (big, n_big, n_bytes) if n_big > 0 else None
+def _known(items: DataFrame, basket: str, item: str) -> DataFrame:
+    """Rows with a basket and an item; the others take no part."""
+    return items.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
 
 
-def _any_basket_over(items: DataFrame, basket: str, block_size: int) -> bool:
-    """Cheap pre-check on raw rows (an upper bound of distinct items per basket)."""
-    sizes = items.groupBy(basket).agg(F.count(F.lit(1)).alias("_n"))
-    return sizes.filter(F.col("_n") > block_size).count() > 0
+def session_items(items: DataFrame, basket: str = "session_id", item: str = "product_id") -> DataFrame:
+    """A6 / U2 as rows: the distinct ``(basket, item)``, at any basket size."""
+    return _known(items, basket, item).distinct()
 
 
-def _with_blocks(distinct_items: DataFrame, big: tuple[DataFrame, int, int], basket: str, item: str,
-                 max_broadcast_rows: int | None) -> DataFrame:
-    """Append ``_nblk`` and the item's block ``_b = pmod(xxhash64(item), _nblk)`` (1 block for small baskets)."""
-    big, n_big, n_bytes = big
-    fits = broadcastable(n_big, n_bytes, max_broadcast_rows)
-    nblk = F.coalesce(F.col("_nblk"), F.lit(1))
-    return distinct_items.join(F.broadcast(big) if fits else big, basket, "left").select(
-        basket, item, nblk.alias("_nblk"), F.pmod(F.xxhash64(F.col(item)), nblk).cast("int").alias("_b")
-    )
-
-
-def session_baskets(
-    items: DataFrame,
-    basket: str = "session_id",
-    item: str = "product_id",
-    max_items: int = DEFAULT_BLOCK_SIZE,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
-    """The distinct item set per basket as ``(basket, chunk, items)``, items sorted.
-
-    A basket of at most ``max_items`` distinct items is one row (``chunk`` 0).
-    A bigger one is split into about ``n / max_items`` rows by item hash, so no
-    task or row ever holds a whole hot basket; the chunks together are its set.
-    """
-    distinct_items = items.select(basket, item).where(F.col(item).isNotNull()).distinct()
-    big = _big_baskets(distinct_items, basket, max_items) if _any_basket_over(items, basket, max_items) else None
-    if big is None:
-        chunked = distinct_items.withColumn("chunk", F.lit(0))
-    else:
-        chunked = _with_blocks(distinct_items, big, basket, item, max_broadcast_rows).withColumnRenamed("_b", "chunk")
-    return chunked.groupBy(basket, "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))
-
-
-def _pair_input(items: DataFrame, basket: str, item: str, block_size: int,
-                max_broadcast_rows: int | None) -> tuple[DataFrame, bool]:
-    """The rows the pair self-join reads, and whether they carry block keys.
-
-    * No basket above ``block_size`` raw rows (cheap check, no dedup): the raw
-      ``(basket, item)`` rows; the self-join's shuffle deduplicates them.
-    * Otherwise items are deduplicated first (shuffle on ``(basket, item)``,
-      which spreads a hot basket), so repeat purchases are never fanned out or
-      sent to one task, and exact distinct counts decide: if still no basket is
-      big, the distinct rows; else distinct ``(basket, item, _b, _lo, _hi)``
-      routed to block pairs.
+def session_baskets(items: DataFrame, basket: str = "session_id", item: str = "product_id") -> DataFrame:
+    """The item set of every basket as one sorted array, ``(basket, items)``.
+
+    One row a basket, whatever its size, so a row is as large as its basket;
+    jobs that do not need the arrays use ``session_items``.
     """
-    if not _any_basket_over(items, basket, block_size):
-        return items, False
-    distinct_items = items.dropDuplicates([basket, item])
-    big = _big_baskets(distinct_items, basket, block_size)
-    if big is None:
-        return distinct_items, False
-    blocked = _with_blocks(distinct_items, big, basket, item, max_broadcast_rows)
-    routed = blocked.select(
-        basket, item, "_b", F.explode(F.sequence(F.lit(0), F.col("_nblk") - 1)).alias("_j")
-    ).select(basket, item, "_b", F.least("_b", "_j").alias("_lo"), F.greatest("_b", "_j").alias("_hi"))
-    return routed, True
-
-
-def basket_pairs(
-    items: DataFrame,
-    basket: str = "session_id",
-    item: str = "product_id",
-    block_size: int = DEFAULT_BLOCK_SIZE,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+    sets = _known(items, basket, item).groupBy(basket).agg(F.collect_set(item).alias("items"))
+    return sets.select(basket, F.sort_array("items").alias("items"))
+
+
+def _blocks(known: DataFrame, big: DataFrame, basket: str, item: str, how: str) -> DataFrame:
+    """``(basket, _nblk, _b, _items)``: each block's distinct items, ascending."""
+    nblk = F.coalesce(F.col("_nblk"), F.lit(1))
+    tagged = known.join(big, basket, how).select(
+        basket, item, nblk.alias("_nblk"), F.pmod(F.xxhash64(item), nblk).cast("int").alias("_b"))
+    # Dealt out anew, so that a big basket goes to many tasks even after a join on the basket.
+    spread = tagged.repartition(F.col(basket), F.col("_b"))
+    blocks = spread.groupBy(basket, "_nblk", "_b").agg(F.collect_set(item).alias("_items"))
+    return blocks.withColumn("_items", F.sort_array("_items"))
+
+
+def basket_pairs(items: DataFrame, basket: str = "session_id", item: str = "product_id",
+                 block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """Every unordered pair of distinct items per basket, ``(basket, item_1, item_2)``.
 
     Rows with a null basket or item take no part.
     """
-    base = items.select(basket, item).where(F.col(basket).isNotNull() & F.col(item).isNotNull())
-    rows, blocked = _pair_input(base, basket, item, block_size, max_broadcast_rows)
-    if not blocked:  # every basket fits one block: the block key is the basket
-        keys = [basket]
-        # One explicit shuffle on the basket feeds the distinct and both sides
-        # of the self-join (sort-merge: a broadcast side would recompute it).
-        blocks = rows.repartition(basket).dropDuplicates([basket, item])
-        pair_ok = F.col("_a") < F.col("_z")
-        extra_a, extra_z = [], []
-    else:
-        keys = [basket, "_lo", "_hi"]
-        diagonal = (F.col("_lo") == F.col("_hi")) & (F.col("_a") < F.col("_z"))
-        across = (F.col("_lo") < F.col("_hi")) & (F.col("_ab") == F.col("_lo")) & (F.col("_zb") == F.col("_hi"))
-        pair_ok = diagonal | across
-        extra_a, extra_z = [F.col("_b").alias("_ab")], [F.col("_b").alias("_zb")]
-        # Items are distinct already; the shuffle on the block key spreads a
-        # big basket over its block pairs and serves both join sides.
-        blocks = rows.repartition(*keys)
-    a = blocks.select(*keys, *extra_a, F.col(item).alias("_a"))
-    z = blocks.select(*keys, *extra_z, F.col(item).alias("_z"))
-    return a.join(z.hint("merge"), keys).where(pair_ok).select(
-        basket, F.least("_a", "_z").alias("item_1"), F.greatest("_a", "_z").alias("item_2")
-    )
-
-
-def pair_frequencies(
-    items: DataFrame,
-    basket: str = "session_id",
-    item: str = "product_id",
-    min_support: int = 1,
-    block_size: int = DEFAULT_BLOCK_SIZE,
-    max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-) -> DataFrame:
+    known = _known(items, basket, item)
+    sizes = known.groupBy(basket, key_bucket(basket)).agg(F.approx_count_distinct(item).alias("_n"))
+    big = sizes.filter(F.col("_n") > block_size).select(
+        basket, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nblk"))
+
+    within = _blocks(known, big, basket, item, "left")
+    within = within.select(basket, "_items", F.posexplode("_items").alias("_at", "item_1")).select(
+        basket, "item_1", F.explode(F.slice("_items", F.col("_at") + 2, F.size("_items"))).alias("item_2"))
+
+    blocks = _blocks(known, big, basket, item, "inner")
+    earlier = blocks.filter(F.col("_b") < F.col("_nblk") - 1).select(
+        basket, F.col("_items").alias("_lo"), F.explode(F.sequence(F.col("_b") + 1, F.col("_nblk") - 1)).alias("_b"))
+    across = earlier.join(blocks.select(basket, "_b", F.col("_items").alias("_hi")), [basket, "_b"])
+    across = across.select(basket, "_hi", F.explode("_lo").alias("_a")).select(
+        basket, "_a", F.explode("_hi").alias("_z"))
+    return within.unionByName(across.select(basket, F.least("_a", "_z").alias("item_1"), F.greatest("_a", "_z").alias("item_2")))
+
+
+def _frequent(items: DataFrame, basket: str, item: str, min_support: int) -> DataFrame:
+    """Rows of items that at least ``min_support`` baskets hold."""
+    support = session_items(items, basket, item).groupBy(item, key_bucket(item)).agg(F.count(F.lit(1)).alias("_n"))
+    return items.join(support.filter(F.col("_n") >= min_support).select(item), item, "left_semi")
+
+
+def pair_frequencies(items: DataFrame, basket: str = "session_id", item: str = "product_id", min_support: int = 1,
+                     block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
     """``(item_1, item_2, frequency)`` over all pairs, no order."""
-    pairs = basket_pairs(items, basket, item, block_size, max_broadcast_rows)
+    if min_support > 1:
+        items = _frequent(items, basket, item, min_support)
+    pairs = basket_pairs(items, basket, item, block_size)
     freq = pairs.groupBy("item_1", "item_2").agg(F.count(F.lit(1)).alias("frequency"))
     return freq.filter(F.col("frequency") >= min_support) if min_support > 1 else freq
 

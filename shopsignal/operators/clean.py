@@ -12,20 +12,41 @@ from ..functions.json import parse_metadata
 from ..schemas import CART, CRITICAL_COLUMNS, PURCHASE, VIEW
 
 
-def coerce_types(df: DataFrame) -> DataFrame:
-    """Give text ``timestamp`` / ``price`` columns their real types; bad values become null.
+# Timestamp texts beside those a cast reads (ISO dates and times, with ``T`` or a space, a fraction, a zone).
+TIMESTAMP_FORMATS = ("MM/dd/yyyy HH:mm:ss", "yyyy/MM/dd HH:mm:ss")
 
-    Raw logs read with an inferred schema may carry these as strings when one
-    value is malformed; ``try_cast`` turns that value into null (ANSI-safe), so
-    the row is then dropped by the critical-column filter instead of failing.
+
+def _timestamp(text: Column) -> Column:
+    """A text as a local timestamp; null if no known form fits.  A zone in the text is read and left out."""
+    return F.coalesce(text.try_cast("timestamp_ntz"),
+                      *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS])
+
+
+def unparsed(df: DataFrame) -> dict[str, Column]:
+    """Per converted column whether a row's text is there but does not parse (typed columns: never)."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    ts, price = F.col("timestamp"), F.col("price")
+    bad_ts = isinstance(fields["timestamp"], T.StringType)
+    bad_price = not isinstance(fields["price"], T.NumericType)
+    return {
+        "timestamp": ts.isNotNull() & _timestamp(ts).isNull() if bad_ts else F.lit(False),
+        "price": price.isNotNull() & price.try_cast("double").isNull() if bad_price else F.lit(False),
+    }
+
+
+def coerce_types(df: DataFrame, others: dict[str, str] | None = None) -> DataFrame:
+    """Give text ``timestamp`` / ``price`` columns (and ``others``: name -> type) their types; bad values become null.
+
+    Conversions never fail (ANSI-safe): the null drops its row in the
+    critical-column filter, and ``unparsed`` counts it for the quality report.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
     out = df
     if isinstance(fields.get("timestamp"), T.StringType):
-        out = out.withColumn("timestamp", F.col("timestamp").try_cast("timestamp_ntz"))
+        out = out.withColumn("timestamp", _timestamp(F.col("timestamp")))
     if "price" in fields and not isinstance(fields["price"], T.NumericType):
         out = out.withColumn("price", F.col("price").try_cast("double"))
-    return out
+    return out.withColumns({c: F.col(c).try_cast(t) for c, t in (others or {}).items()})
 
 
 def keep_condition(columns=CRITICAL_COLUMNS) -> Column:

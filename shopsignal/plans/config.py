@@ -19,9 +19,13 @@ import math
 
 from pyspark.sql import SparkSession
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024  # per shuffle partition / scan split
+TARGET_PARTITION_BYTES = 512 * 1024 * 1024  # per shuffle partition, before AQE coalesces or splits
+SCAN_SPLIT_BYTES = 512 * 1024 * 1024  # the most a scan task reads
+SMALL_SPLIT_BYTES = 128 * 1024 * 1024  # scan split of inputs that would otherwise have too few tasks
 MIN_SHUFFLE_PARTITIONS = 200
-MAX_SHUFFLE_PARTITIONS = 200_000
+# In-memory bytes of shuffled rows for a byte of compressed input: the jobs shuffle a few short columns, mostly after
+# partial sums, never the metadata texts that make up most of a log row.
+SHUFFLED_SHARE = 0.25
 RUNTIME_BROADCAST_BYTES = 64 * 1024 * 1024  # measured shuffle output of a side AQE may broadcast
 
 
@@ -33,15 +37,15 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
-def recommended(total_input_bytes: int, expansion: float = 3.0) -> dict[str, str]:
-    """Settings for a job reading ``total_input_bytes`` of compressed columnar input.
+def recommended(total_input_bytes: int, shuffled_share: float = SHUFFLED_SHARE) -> dict[str, str]:
+    """Settings for jobs reading ``total_input_bytes`` of compressed columnar input; no cap at any size.
 
-    ``expansion`` is the in-memory size of shuffled rows relative to the
-    compressed input (the pair and profile jobs shuffle a few columns only).
+    Fewer, larger tasks at scale: an exchange has (map tasks x partitions)
+    blocks, so both grow only with the bytes they really hold.
     """
-    shuffle_bytes = max(1, int(total_input_bytes * expansion))
-    partitions = min(MAX_SHUFFLE_PARTITIONS, max(MIN_SHUFFLE_PARTITIONS,
-                                                 math.ceil(shuffle_bytes / TARGET_PARTITION_BYTES)))
+    shuffle_bytes = max(1, int(total_input_bytes * shuffled_share))
+    partitions = max(MIN_SHUFFLE_PARTITIONS, math.ceil(shuffle_bytes / TARGET_PARTITION_BYTES))
+    split = SCAN_SPLIT_BYTES if total_input_bytes >= 1000 * SCAN_SPLIT_BYTES else SMALL_SPLIT_BYTES
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -49,10 +53,10 @@ def recommended(total_input_bytes: int, expansion: float = 3.0) -> dict[str, str
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(RUNTIME_BROADCAST_BYTES),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES // 4),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES // 2),
+        "spark.sql.files.maxPartitionBytes": str(split),
     }
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint_root
 
 # A side is broadcast only if both its measured row count and its measured
 # size (``row_bytes``) are within these bounds.
@@ -84,7 +84,7 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int, int]:
     final shuffle output).  The result reads the checkpoint files, which also
     cuts the lineage (a lost executor does not recompute it).
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_root(df.sparkSession)
     seen = Observation()
     saved = df.observe(seen, *_size_aggregates(df)).checkpoint(eager=True)
     got = seen.get
@@ -94,21 +94,14 @@ def materialize(df: DataFrame) -> tuple[DataFrame, int, int]:
 def checked_broadcast(
     df: DataFrame,
     max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-    cut_lineage: bool = False,
     max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Return ``broadcast(df)`` if ``df`` measures at most ``max_rows`` rows and ``max_bytes`` bytes, else ``df``.
 
     The measurement is one distributed aggregate (partial sums per task, no
-    rows move).  With ``cut_lineage`` the side is first written to the shared
-    checkpoint folder and measured in the same job, so an expensive side is
-    computed once for both the size check and the join.
+    rows move).
     """
-    if cut_lineage:
-        df, n, nbytes = materialize(df)
-    elif max_rows:
-        got = df.agg(*_size_aggregates(df)).first()
-        n, nbytes = int(got["rows"]), int(got["bytes"])
-    else:
+    if not max_rows:
         return df
-    return F.broadcast(df) if broadcastable(n, nbytes, max_rows, max_bytes) else df
+    got = df.agg(*_size_aggregates(df)).first()
+    return F.broadcast(df) if broadcastable(int(got["rows"]), int(got["bytes"]), max_rows, max_bytes) else df

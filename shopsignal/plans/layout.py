@@ -29,12 +29,11 @@ def clustered(df: DataFrame, key: str, n_partitions: int | None = None, then: st
     return ranged.sortWithinPartitions(*cols)
 
 
-def partition_sizes(df: DataFrame) -> DataFrame:
-    """Rows per partition as ``(partition, rows)``, computed on executors."""
-    return (
-        df.groupBy(F.spark_partition_id().alias("partition"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+def partition_sizes(df: DataFrame, n_partitions: int) -> DataFrame:
+    """Rows of each of the ``n_partitions`` partitions as ``(partition, rows)``, empty ones included."""
+    rows = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+    every = df.sparkSession.range(n_partitions).select(F.col("id").cast("int").alias("partition"))
+    return every.join(rows, "partition", "left").select("partition", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -43,7 +42,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Under-split inputs (one unsplittable file, a multi-line CSV, a single
     Parquet row group) would otherwise run all per-row parsing in a few tasks.
     Inputs that already have enough splits, as at scale, are returned as is,
-    so this never adds a shuffle to a large scan.
+    so this never adds a shuffle to a large scan.  Only for plain scans: the
+    number of partitions of a plan with a shuffle is known only by running it.
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df

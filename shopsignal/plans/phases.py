@@ -23,10 +23,20 @@ from pyspark.sql import functions as F
 
 from ..functions.json import parse_metadata
 from ..operators import abandonment, affinity, basket, campaign, quality, recommend, store
-from ..operators.clean import coerce_types, keep_condition
-from ..schemas import CART, PURCHASE, VIEW
+from ..operators.clean import coerce_types, keep_condition, unparsed
+from ..schemas import CART, PURCHASE, ROW_COUNT_LABEL, VIEW
+from ..session import checkpoint_root, remove_scratch
 from ..sources import files
-from .layout import round_robin
+from .layout import round_robin, spread
+
+# Whether a raw row has a text that is no timestamp / no price.
+BAD = {"timestamp": "_bad_timestamp", "price": "_bad_price"}
+
+
+def _parsed(raw: DataFrame) -> DataFrame:
+    """Typed raw logs with their metadata fields and a flag for each text that did not parse."""
+    flags = {BAD[c]: bad for c, bad in unparsed(raw).items()}
+    return parse_metadata(coerce_types(raw.withColumns(flags)))
 
 
 def _quality_aggregates(raw_columns: list[str]) -> list[Column]:
@@ -36,6 +46,7 @@ def _quality_aggregates(raw_columns: list[str]) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"null_{c}") for c in raw_columns],
+        *[F.count_if(F.col(flag)).alias(f"unparsed_{c}") for c, flag in BAD.items()],
         F.count_if(keep).alias("clean_rows"),
         F.count_if(keep & (et == VIEW)).alias("views"),
         F.count_if(keep & (et == CART)).alias("carts"),
@@ -49,6 +60,7 @@ def _report(figures: DataFrame, raw_columns: list[str]) -> DataFrame:
         "n_rows",
         F.lit(len(raw_columns)).alias("n_columns"),
         *[f"null_{c}" for c in raw_columns],
+        *[f"unparsed_{c}" for c in BAD],
         "clean_rows",
         (F.col("n_rows") - F.col("clean_rows")).alias("dropped_rows"),
         "views",
@@ -63,7 +75,8 @@ def quality_report(raw: DataFrame) -> DataFrame:
     """A1-A5 in a single scan of the raw logs (the reference runs one job per figure).
 
     One row: ``n_rows``, ``n_columns``, ``null_<column>`` per raw column,
-    ``clean_rows``, ``dropped_rows``, ``views``, ``carts``, ``purchases``,
+    ``unparsed_timestamp`` and ``unparsed_price`` (texts that are there but
+    do not parse; they count as null too), ``clean_rows``, ``dropped_rows``, ``views``, ``carts``, ``purchases``,
     ``n_event_types`` (distinct types among clean rows) and ``reconciles``.
 
     The types themselves are ``quality.distinct_values`` (A4), a distributed
@@ -72,7 +85,7 @@ def quality_report(raw: DataFrame) -> DataFrame:
     ``count_distinct`` beside plain aggregates is planned as a shuffle on the
     type, so each task counts only its share of the values.
     """
-    parsed = parse_metadata(coerce_types(raw))
+    parsed = _parsed(raw)
     n_types = F.count_distinct(F.when(keep_condition(), F.col("event_type"))).alias("n_event_types")
     return _report(parsed.agg(*_quality_aggregates(raw.columns), n_types), raw.columns)
 
@@ -93,16 +106,19 @@ def clean_and_basket(raw: DataFrame, out: str, n_partitions: int | None = None)
     report.  Only the distinct event-type count, which ``observe`` cannot
     take, is read from the written ``event_type`` column.
 
-    The optional round-robin to ``n_partitions`` comes *before* the
-    observation, so the figures are always taken in the write's final stage,
+    Rows are dealt out before anything is parsed: to ``n_partitions``, or,
+    if the scan has fewer splits than the cluster has cores (a multi-line CSV
+    is one split a file), to as many as there are.  That comes *before* the
+    observation too, so the figures are always taken in the write's final stage,
     where Spark applies each task's update exactly once.  In a shuffle-map
     stage a stage re-run after a lost executor could count rows twice.
     """
     p = _paths(out)
     spark = raw.sparkSession
-    parsed = round_robin(parse_metadata(coerce_types(raw)), n_partitions)
+    parsed = _parsed(round_robin(raw, n_partitions) if n_partitions else spread(raw))
     seen = Observation()
     observed = parsed.observe(seen, *_quality_aggregates(raw.columns)).filter(keep_condition())
+    observed = observed.drop(*BAD.values())
     files.write_parquet(observed, p["cleaned_logs"])
     cleaned = files.read_clean_parquet(spark, p["cleaned_logs"])
     figures = dict(seen.get)
@@ -150,15 +166,17 @@ def validate(spark: SparkSession, out: str) -> dict[str, str]:
     files.write_json(campaign.offer_counts(cmp), p["reports/offer_counts"])
     cleaned = files.read_clean_parquet(spark, p["cleaned_logs"])
     quality.row_count(cleaned).select(
-        F.concat(F.lit("Total rows: "), F.col("total_rows").cast("string")).alias("value")
+        F.concat(F.lit(ROW_COUNT_LABEL), F.col("total_rows").cast("string")).alias("value")
     ).write.mode("overwrite").text(p["reports/row_count"])
     return p
 
 
-def run_all(raw: DataFrame, out: str, n_partitions: int | None = None, top_k: int | None = None) -> dict[str, str]:
+def run_all(raw: DataFrame, out: str, n_partitions: int | None = None, top_k: int | None = None,
+            with_pairs: bool = True) -> dict[str, str]:
+    """All phases; ``with_pairs=False`` leaves recommendations empty (S5: a run without a pair table)."""
     spark = raw.sparkSession
     clean_and_basket(raw, out, n_partitions)
-    profiles(spark, out, n_partitions)
+    profiles(spark, out, n_partitions, with_pairs)
     publish(spark, out, n_partitions)
     campaign_phase(spark, out, n_partitions, top_k)
     return validate(spark, out)
@@ -172,6 +190,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output root on shared storage")
     ap.add_argument("--partitions", type=int, default=None, help="output partitions (reference: 48)")
     ap.add_argument("--top-k", type=int, default=None)
+    ap.add_argument("--no-recommendations", action="store_true", help="profiles without recommended pairs")
     ap.add_argument(
         "--single-line", action="store_true",
         help="raw CSV has no quoted newlines: read it line by line, so one big file is split over many "
@@ -179,6 +198,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("shopsignal").getOrCreate()
+    checkpoint_root(spark)  # a cluster without a shared checkpoint folder fails here, before any job
     from .config import apply_missing, input_bytes, recommended
 
     apply_missing(spark, recommended(input_bytes(spark, args.raw or args.sf_dir)))
@@ -188,8 +208,9 @@ def main(argv: list[str] | None = None) -> None:
         from ..fixtures import raw_logs
 
         raw = raw_logs(spark, args.sf_dir)
-    for name, path in run_all(raw, args.out, args.partitions, args.top_k).items():
+    for name, path in run_all(raw, args.out, args.partitions, args.top_k, not args.no_recommendations).items():
         print(f"{name}\t{path}")
+    remove_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -16,8 +16,8 @@ from . import fixtures
 from .fixtures import DUCKDB_CLEAN, DUCKDB_RAW
 from .functions.arrays import category_list, first_category, format_pairs, format_ranked, format_ranked_maps
 from .operators import abandonment, affinity, basket, campaign, clean, quality, recommend, store
-from .plans.layout import partition_sizes
-from .schemas import RAW
+from .fixtures import CLEAN_WITH_ID, RAW_WITH_ID
+from .plans.layout import by_key, partition_sizes, round_robin
 from .session import scratch_path
 from .sources import files
 
@@ -71,10 +71,29 @@ def _history_campaign(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ queries
 def q_scan_csv_logs(spark, sf):
-    path = files.write_csv(_raw(spark, sf), scratch_path(spark, "raw_csv"))
+    return _typed(files.read_raw_csv(spark, files.write_csv(_raw(spark, sf), scratch_path(spark, "raw_csv"))))
+
+
+def _typed(logs: DataFrame) -> DataFrame:
+    return clean.coerce_types(logs, {"event_id": "bigint"})
+
+
+def _foreign_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw logs from a CSV as others write it: columns in another order, one more of them, a space in the time."""
+    raw = _raw(spark, sf)
+    text = raw.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS")).withColumn("note", F.lit("a, b"))
+    path = files.write_csv(text.select(sorted(text.columns, reverse=True)), scratch_path(spark, "foreign_csv"))
     return files.read_raw_csv(spark, path)
 
 
+def q_scan_csv_logs_by_name(spark, sf):
+    return _typed(_foreign_csv(spark, sf)).select(RAW_WITH_ID.names)
+
+
+def q_clean_csv_logs(spark, sf):
+    return clean.clean_logs(_typed(_foreign_csv(spark, sf))).select(CLEAN_WITH_ID.names)
+
+
 def q_scan_parquet_logs(spark, sf):
     path = files.write_parquet(_clean(spark, sf), scratch_path(spark, "clean_parquet"))
     return files.read_clean_parquet(spark, path)
@@ -82,7 +101,7 @@ def q_scan_parquet_logs(spark, sf):
 
 def q_cleaned_csv_roundtrip(spark, sf):
     path = files.write_clean_csv(_clean(spark, sf), scratch_path(spark, "clean_csv"))
-    return files.read_clean_csv(spark, path)
+    return files.read_clean_csv(spark, path, CLEAN_WITH_ID)
 
 
 def q_scan_pairs_csv(spark, sf):
@@ -108,9 +127,8 @@ def q_affinity_roundtrip(spark, sf):
 
 
 def q_abandoned_csv_roundtrip(spark, sf):
-    df = abandonment.abandoned_items(_clean(spark, sf))
-    path = files.write_csv(df.select(*[f.name for f in files.CLEAN.fields]), scratch_path(spark, "abandoned_csv"))
-    return spark.read.schema(files.CLEAN).options(header="true", **files.CSV_OPTIONS).csv(path)
+    path = files.write_csv(abandonment.abandoned_items(_clean(spark, sf)), scratch_path(spark, "abandoned_csv"))
+    return _typed(files.read_abandoned_csv(spark, path))
 
 
 def q_campaign_roundtrip(spark, sf):
@@ -167,15 +185,42 @@ def q_abandoned_count(spark, sf):
 
 
 def q_partition_sizes(spark, sf):
-    sizes = partition_sizes(_clean(spark, sf).repartition(8))
+    # By type: fewer types than partitions, so some partitions are empty and still reported.
+    sizes = partition_sizes(by_key(_clean(spark, sf), "event_type", 8), 8)
     return sizes.agg(
-        (F.count(F.lit(1)) <= 8).alias("n_partitions_le_8"), F.sum("rows").cast("bigint").alias("total_rows")
-    )
+        F.count(F.lit(1)).alias("n_partitions"), F.sum("rows").cast("bigint").alias("total_rows"),
+        (F.count_if(F.col("rows") == 0) >= 3).alias("some_empty"))
+
+
+def q_layout_round_robin(spark, sf):
+    return round_robin(_clean(spark, sf), 8)
+
+
+def q_layout_by_session(spark, sf):
+    parts = by_key(_clean(spark, sf), "session_id", 8).withColumn("p", F.spark_partition_id())
+    return parts.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("p").alias("partitions"))
+
+
+def q_reuse_written_logs(spark, sf):
+    """One written table serves two jobs, event counts and purchase sessions: ``(figure, n)``."""
+    path = files.write_parquet(_clean(spark, sf), scratch_path(spark, "reused"))
+    logs = files.read_clean_parquet(spark, path)
+    sessions = quality.row_count(abandonment.purchase_sessions(logs), "purchase_sessions")
+    counts = quality.event_counts(logs).unpivot([], ["views", "carts", "purchases"], "figure", "n")
+    return counts.unionByName(sessions.unpivot([], ["purchase_sessions"], "figure", "n"))
 
 
 def q_session_baskets(spark, sf):
     b = basket.session_baskets(basket.purchase_items(_clean(spark, sf)))
-    return b.select("session_id", "chunk", F.array_join("items", "|").alias("items"))
+    return b.select("session_id", F.array_join("items", "|").alias("items"))
+
+
+def q_session_items(spark, sf):
+    return basket.session_items(basket.purchase_items(_clean(spark, sf)))
+
+
+def q_basket_pairs_small_blocks(spark, sf):
+    return basket.basket_pairs(basket.purchase_items(_clean(spark, sf)), block_size=3)
 
 
 def q_basket_pairs(spark, sf):
@@ -282,6 +327,10 @@ def q_offer_counts(spark, sf):
     return campaign.offer_counts(campaign.campaign(_clean(spark, sf)))
 
 
+def q_offer_counts_history(spark, sf):
+    return campaign.offer_counts(_history_campaign(spark, sf))
+
+
 def q_profile_by_user(spark, sf):
     return _flat_profiles(store.profile_by_user(_profiles(spark, sf), LOOKUP_USER))
 
@@ -330,6 +379,8 @@ def q_profile_by_user_indexed(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "scan_csv_logs": q_scan_csv_logs,
+    "scan_csv_logs_by_name": q_scan_csv_logs_by_name,
+    "clean_csv_logs": q_clean_csv_logs,
     "scan_parquet_logs": q_scan_parquet_logs,
     "cleaned_csv_roundtrip": q_cleaned_csv_roundtrip,
     "scan_pairs_csv": q_scan_pairs_csv,
@@ -352,6 +403,11 @@ QUERIES: dict[str, Query] = {
     "row_count": q_row_count,
     "abandoned_count": q_abandoned_count,
     "partition_sizes": q_partition_sizes,
+    "layout_round_robin": q_layout_round_robin,
+    "layout_by_session": q_layout_by_session,
+    "reuse_written_logs": q_reuse_written_logs,
+    "session_items": q_session_items,
+    "basket_pairs_small_blocks": q_basket_pairs_small_blocks,
     "session_baskets": q_session_baskets,
     "basket_pairs": q_basket_pairs,
     "market_basket_pairs": q_market_basket_pairs,
@@ -376,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "campaign_top2": q_campaign_top2,
     "campaign_history": q_campaign_history,
     "offer_counts": q_offer_counts,
+    "offer_counts_history": q_offer_counts_history,
     "profile_by_user": q_profile_by_user,
     "users_by_category": q_users_by_category,
     "users_by_item": q_users_by_item,
@@ -463,7 +520,7 @@ def _dq(name: str) -> str:
     return f'"{name}"' if name == "timestamp" else name
 
 
-_RAW_COLS = ", ".join(_dq(f.name) for f in RAW.fields)
+_RAW_COLS = ", ".join(_dq(f.name) for f in RAW_WITH_ID.fields)
 _CAMPAIGN = _campaign_sql("true", "true", None)
 _ALL = "true"
 _SPLIT = f"\"timestamp\" >= timestamp '{HISTORY_SPLIT}'"
@@ -471,6 +528,8 @@ _BEFORE = f"\"timestamp\" < timestamp '{HISTORY_SPLIT}'"
 
 ORACLE: dict[str, str] = {
     "scan_csv_logs": _with() + f"select {_RAW_COLS} from raw",
+    "scan_csv_logs_by_name": _with() + f"select {_RAW_COLS} from raw",
+    "clean_csv_logs": _with() + "select * from clean",
     "scan_parquet_logs": _with() + "select * from clean",
     "cleaned_csv_roundtrip": _with() + "select * from clean",
     "scan_pairs_csv": _with(_PURCHASE_ITEMS, _BASKET_PAIRS, _PAIRS) + "select * from pairs",
@@ -485,10 +544,10 @@ ORACLE: dict[str, str] = {
     "events_view": _with() + "select * from clean where event_type = 'view'",
     "events_cart": _with() + "select * from clean where event_type = 'cart'",
     "events_purchase": _with() + "select * from clean where event_type = 'purchase'",
-    "raw_shape": _with() + f"select count(*) n_rows, {len(RAW.fields)} n_columns from raw",
+    "raw_shape": _with() + f"select count(*) n_rows, {len(RAW_WITH_ID.fields)} n_columns from raw",
     "null_counts": _with()
     + "select "
-    + ", ".join(f"count(*) - count({_dq(f.name)}) {_dq(f.name)}" for f in RAW.fields)
+    + ", ".join(f"count(*) - count({_dq(f.name)}) {_dq(f.name)}" for f in RAW_WITH_ID.fields)
     + " from raw",
     "dropped_rows": _with()
     + "select r.n raw_rows, c.n clean_rows, r.n - c.n dropped_rows from (select count(*) n from raw) r, "
@@ -501,9 +560,16 @@ ORACLE: dict[str, str] = {
     "count(*) all_rows from clean)",
     "row_count": _with() + "select count(*) total_rows from clean",
     "abandoned_count": _with(_ABANDONED_ITEMS) + "select count(*) abandoned from ab_items",
-    "partition_sizes": _with() + "select true n_partitions_le_8, count(*) total_rows from clean",
+    "partition_sizes": _with() + "select 8 n_partitions, count(*) total_rows, true some_empty from clean",
+    "layout_round_robin": _with() + "select * from clean",
+    "layout_by_session": _with() + "select session_id, count(*) n, 1 partitions from clean group by session_id",
+    "reuse_written_logs": _with()
+    + "select event_type || 's' figure, count(*) n from clean where event_type in ('view', 'cart', 'purchase') group by 1 "
+    "union all select 'purchase_sessions', count(distinct session_id) from clean where event_type = 'purchase'",
+    "session_items": _with(_PURCHASE_ITEMS) + "select * from pitems",
+    "basket_pairs_small_blocks": _with(_PURCHASE_ITEMS, _BASKET_PAIRS) + "select * from bpairs",
     "session_baskets": _with(_PURCHASE_ITEMS)
-    + "select session_id, 0 chunk, string_agg(product_id, '|' order by product_id) items from pitems "
+    + "select session_id, string_agg(product_id, '|' order by product_id) items from pitems "
     "group by session_id",
     "basket_pairs": _with(_PURCHASE_ITEMS, _BASKET_PAIRS) + "select * from bpairs",
     "market_basket_pairs": _with(_PURCHASE_ITEMS, _BASKET_PAIRS, _PAIRS) + "select * from pairs",
@@ -540,6 +606,8 @@ ORACLE: dict[str, str] = {
     "campaign_top2": _campaign_sql(_ALL, _ALL, 2),
     "campaign_history": _campaign_sql(_SPLIT, _BEFORE, None),
     "offer_counts": "with cmp as (" + _CAMPAIGN + ") select discount_offer, count(*) n from cmp group by discount_offer",
+    "offer_counts_history": "with cmp as (" + _campaign_sql(_SPLIT, _BEFORE, None)
+    + ") select discount_offer, count(*) n from cmp group by discount_offer",
     "profile_by_user": _with(*_PROFILE_CTES) + f"select * from profiles where user_id = '{LOOKUP_USER}'",
     "users_by_category": _with(_AFFINITY)
     + f"select user_id, total_score score from affinity where category = '{LOOKUP_CATEGORY}' "
@@ -555,9 +623,9 @@ ORACLE: dict[str, str] = {
     "quality_report": _with()
     + "select r.*, c.clean_rows, r.n_rows - c.clean_rows dropped_rows, c.views, c.carts, c.purchases, "
     "c.n_event_types, c.views + c.carts + c.purchases = c.clean_rows reconciles from (select count(*) n_rows, "
-    + f"{len(RAW.fields)} n_columns, "
-    + ", ".join(f"count(*) - count({_dq(f.name)}) null_{f.name}" for f in RAW.fields)
-    + " from raw) r, (select count(*) clean_rows, count(*) filter (where event_type = 'view') views, "
+    + f"{len(RAW_WITH_ID.fields)} n_columns, "
+    + ", ".join(f"count(*) - count({_dq(f.name)}) null_{f.name}" for f in RAW_WITH_ID.fields)
+    + ", 0 unparsed_timestamp, 0 unparsed_price from raw) r, (select count(*) clean_rows, count(*) filter (where event_type = 'view') views, "
     "count(*) filter (where event_type = 'cart') carts, count(*) filter (where event_type = 'purchase') purchases, "
     "count(distinct event_type) n_event_types from clean) c",
     "users_by_category_indexed": _with(_AFFINITY)

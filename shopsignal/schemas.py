@@ -15,7 +15,7 @@ CRITICAL_COLUMNS = (
     "user_metadata",
 )
 
-# Raw click-log schema. ``event_id`` is ours: a stable row identity for tests.
+# Raw click-log columns every input must have (by name, in any order; further columns are kept).
 RAW = T.StructType(
     [
         T.StructField("session_id", T.StringType()),
@@ -26,7 +26,6 @@ RAW = T.StructType(
         T.StructField("price", T.DoubleType()),
         T.StructField("user_metadata", T.StringType()),
         T.StructField("product_metadata", T.StringType()),
-        T.StructField("event_id", T.LongType()),
     ]
 )
 
@@ -78,6 +77,8 @@ PROFILE_STORE_DDL = "user_id STRING, top_categories ARRAY<STRUCT<category: STRIN
 VIEW, CART, PURCHASE = "view", "cart", "purchase"
 # Interest weight per event type; any other type scores null.
 EVENT_WEIGHTS = {"view": 1, "cart": 3, "purchase": 5}
+# Text before the row count in its report.
+ROW_COUNT_LABEL = "Total rows: "
 # Campaign labels.
 MARKETING_ACTION = "Send cart recovery email"
 HIGH_DISCOUNT = "High_Discount"

@@ -34,7 +34,7 @@ def local_session(master: str = "local[8]", shuffle_partitions: int = 8, **extra
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    checkpoint_root(spark)
     return spark
 
 
@@ -62,11 +62,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    return checkpoint_root(spark)
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/shopsignal-scratch/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/shopsignal-scratch/{uuid.uuid4().hex}/{name}"
+    """A fresh, unique path under the shared checkpoint folder.
+
+    What is written there backs lazy results, so it has to stay until they are
+    used: ``remove_scratch`` deletes all of an application's scratch data.
+    """
+    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch data; results not yet written elsewhere are lost with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

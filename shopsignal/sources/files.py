@@ -1,11 +1,16 @@
-"""File sources and sinks.  Every reader takes an explicit schema (no inference).
+"""File sources and sinks.
 
-CSV timestamps use a microsecond NTZ format on both sides, so a CSV round trip
-is exact; CSV/JSON with a declared schema keep column types stable.
+Raw logs are read by header name, as text: their types come from
+``operators.clean.coerce_types``, so a value that does not parse is a null that
+the quality report counts, not a lost row nobody sees.  Tables this library
+writes are read back with declared schemas, or (Parquet) their own.  CSV
+timestamps are written in a microsecond format, so a round trip is exact.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -16,35 +21,47 @@ TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 CSV_OPTIONS = {"escape": '"', "timestampNTZFormat": TS_NTZ_FORMAT}
 
 
+def _require(df: DataFrame, columns: Iterable[str], path: str) -> DataFrame:
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(df.columns)}")
+    return df
+
+
 # ---------------------------------------------------------------- readers
-def read_raw_csv(
-    spark: SparkSession, path: str, schema: StructType = RAW, multi_line: bool = True, header: bool = True
-) -> DataFrame:
-    """Raw log CSV.  Unparseable timestamps / prices become null (PERMISSIVE).
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Raw log CSV with a header: every column, by its name, as text (empty: null).
+
+    A missing required column is an error; the order of the columns is free and
+    further columns are kept.  ``clean.coerce_types`` (the first step of every
+    job on raw logs) gives timestamps and prices their types.
 
     ``multi_line`` allows quoted newlines but makes each file one split; for
     very large inputs supply many files, or pass ``multi_line=False``.
     """
-    return (
-        spark.read.schema(schema)
-        .options(header=str(header).lower(), nullValue="", multiLine=str(multi_line).lower(), **CSV_OPTIONS)
-        .csv(path)
-    )
+    df = spark.read.options(header="true", nullValue="", multiLine=str(multi_line).lower(), escape='"').csv(path)
+    return _require(df, RAW.names, path)
 
 
 def read_clean_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Cleaned logs."""
-    return spark.read.schema(CLEAN).parquet(path)
+    """Cleaned logs, with any further columns the raw logs had."""
+    return _require(spark.read.parquet(path), CLEAN.names, path)
+
+
+def read_clean_csv(spark: SparkSession, path: str, schema: StructType = CLEAN) -> DataFrame:
+    """Variant K2 read back: headerless CSV of cleaned logs (``schema``: the columns that were written)."""
+    return spark.read.schema(schema).options(header="false", nullValue="", **CSV_OPTIONS).csv(path)
 
 
-def read_clean_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Variant K2 read back: headerless CSV of cleaned logs."""
-    return spark.read.schema(CLEAN).options(header="false", nullValue="", **CSV_OPTIONS).csv(path)
+def read_abandoned_csv(spark: SparkSession, path: str) -> DataFrame:
+    """K6 read back: abandoned carts, by header name and as text (types: ``clean.coerce_types``)."""
+    df = spark.read.options(header="true", nullValue="", multiLine="true", escape='"').csv(path)
+    return _require(df, CLEAN.names, path)
 
 
 def read_campaign_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """S3."""
-    return spark.read.parquet(path)
+    """S3: the campaign table, with the columns it was written with."""
+    return _require(spark.read.parquet(path), ["user_id", "session_id", "discount_offer"], path)
 
 
 def read_pairs_csv(spark: SparkSession, path: str) -> DataFrame:

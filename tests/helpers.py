@@ -1,6 +1,6 @@
 import datetime as dt
 
-from shopsignal.schemas import RAW
+from shopsignal.fixtures import RAW_WITH_ID
 
 T0 = dt.datetime(2024, 1, 1, 10, 0, 0)
 
@@ -11,4 +11,4 @@ def log_row(event_id, session="S1", user="User_1", product="ITEM_1", event="view
 
 
 def raw_df(spark, rows):
-    return spark.createDataFrame(rows, RAW)
+    return spark.createDataFrame(rows, RAW_WITH_ID)

@@ -72,3 +72,13 @@ def test_null_filter_reaches_parquet_scan(spark, tmp_path):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     plan = clean.clean_logs(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert "IsNotNull(session_id)" in plan and "GreaterThan(price,0.0)" in plan
+
+
+def test_timestamp_texts_of_ordinary_logs(spark):
+    texts = ["2024-01-01 10:00:00", "2024-01-01T10:00:00", "2024-01-01T10:00:00Z", "2024-01-01 10:00:00.123",
+             "2024-01-01T10:00:00.123456", "01/01/2024 10:00:00", "2024/01/01 10:00:00", "2024-01-01 10:00:00 UTC"]
+    df = spark.createDataFrame([(t, "1.5") for t in [*texts, "soon", None]], "timestamp string, price string")
+    got = [r.timestamp for r in clean.coerce_types(df).collect()]
+    assert [str(t)[:19] for t in got[:-2]] == ["2024-01-01 10:00:00"] * len(texts) and got[-2:] == [None, None]
+    bad = clean.unparsed(df)
+    assert df.filter(bad["timestamp"]).count() == 1 and df.filter(bad["price"]).count() == 0

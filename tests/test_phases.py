@@ -30,7 +30,11 @@ def test_recommended_config_scales_with_input(spark):
     small = config.recommended(10 * 1024**2)
     big = config.recommended(100 * 1024**4)  # 100 TB
     assert int(small["spark.sql.shuffle.partitions"]) == config.MIN_SHUFFLE_PARTITIONS
-    assert int(big["spark.sql.shuffle.partitions"]) == config.MAX_SHUFFLE_PARTITIONS
+    partitions, split = (int(big[k]) for k in ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"))
+    assert partitions * config.TARGET_PARTITION_BYTES >= config.SHUFFLED_SHARE * 100 * 1024**4  # no cap
+    assert partitions * (100 * 1024**4 // split) < 2e10  # blocks of one exchange
+    ten = config.recommended(1000 * 1024**4)
+    assert int(ten["spark.sql.shuffle.partitions"]) == 10 * partitions
     assert config.input_bytes(spark, SF_SMALL) > 0
     # automatic broadcasts only from measured sizes
     assert big["spark.sql.autoBroadcastJoinThreshold"] == "-1"
@@ -58,12 +62,12 @@ def test_runtime_broadcast_from_measured_size(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_cli_runs_on_fixture(spark):
+def test_cli_runs_on_fixture(spark, tmp_path):
     from shopsignal.plans import config
 
     keys = list(config.recommended(1))
     before = {k: spark.conf.get(k, None) for k in keys}
-    out = scratch_path(spark, "cli")
+    out = str(tmp_path / "cli")  # the run removes its scratch data
     try:
         phases.main(["--sf-dir", SF_SMALL, "--out", out, "--partitions", "2"])
         assert spark.read.parquet(f"{out}/campaign").count() == 15
@@ -72,18 +76,18 @@ def test_cli_runs_on_fixture(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_cli_single_line_splits_one_big_raw_file(spark):
+def test_cli_single_line_splits_one_big_raw_file(spark, tmp_path):
     from shopsignal.plans import config
     from shopsignal.sources import files
 
-    raw_csv = files.write_csv(fixtures.raw_logs(spark, SF_SMALL).coalesce(1), scratch_path(spark, "raw_one_file"))
+    raw_csv = files.write_csv(fixtures.raw_logs(spark, SF_SMALL).coalesce(1), str(tmp_path / "raw_one_file"))
     keys = list(config.recommended(1)) + ["spark.sql.files.maxPartitionBytes"]
     before = {k: spark.conf.get(k, None) for k in keys}
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
         assert files.read_raw_csv(spark, raw_csv).rdd.getNumPartitions() == 1  # multi-line: one task per file
         assert files.read_raw_csv(spark, raw_csv, multi_line=False).rdd.getNumPartitions() > 1
-        out = scratch_path(spark, "cli_single")
+        out = str(tmp_path / "cli_single")
         phases.main(["--raw", raw_csv, "--out", out, "--single-line"])
         assert spark.read.parquet(f"{out}/campaign").count() == 15
     finally:
@@ -112,3 +116,63 @@ def test_phase1_report_with_round_robin_files(spark):
     assert spark.read.json(p["reports/quality"]).first().asDict() == phases.quality_report(raw).first().asDict()
     assert files.read_clean_parquet(spark, p["cleaned_logs"]).count() == 732
     assert len(spark.read.parquet(p["cleaned_logs"]).inputFiles()) <= 3
+
+
+def _foreign_csv(spark, path, order=None):
+    """The fixture as a CSV of another writer: no event_id, other column order, a space in the time, one more column."""
+    from pyspark.sql import functions as F
+
+    raw = fixtures.raw_logs(spark, SF_SMALL).drop("event_id")
+    raw = raw.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).withColumn("note", F.lit("x"))
+    raw.select(order or sorted(raw.columns)).coalesce(1).write.csv(path, header=True, escape='"')
+    return path
+
+
+def test_run_all_on_a_foreign_csv_gives_the_fixture_campaign(spark):
+    from shopsignal.sources import files
+
+    path = _foreign_csv(spark, scratch_path(spark, "foreign"))
+    out = scratch_path(spark, "foreign_run")
+    p = phases.run_all(files.read_raw_csv(spark, path), out)
+    keys = ["user_id", "session_id", "product_id", "marketing_action", "discount_offer"]
+    got = sorted(map(tuple, spark.read.parquet(p["campaign"]).select(keys).collect()))
+    want_dir = phases.run_all(fixtures.raw_logs(spark, SF_SMALL), scratch_path(spark, "fixture_run"))["campaign"]
+    assert got == sorted(map(tuple, spark.read.parquet(want_dir).select(keys).collect())) and len(got) == 15
+    report = spark.read.json(p["reports/quality"]).first()
+    assert (report.unparsed_timestamp, report.unparsed_price, report.clean_rows) == (0, 0, 732)
+
+
+def test_one_raw_file_is_parsed_by_more_than_one_task(spark):
+    from pyspark.sql import functions as F
+
+    from shopsignal.sources import files
+
+    path = _foreign_csv(spark, scratch_path(spark, "one_file"))
+    raw = files.read_raw_csv(spark, path)
+    assert raw.rdd.getNumPartitions() == 1
+    p = phases.clean_and_basket(raw, scratch_path(spark, "one_file_run"))
+    assert spark.read.parquet(p["cleaned_logs"]).select(F.input_file_name().alias("f")).distinct().count() > 1
+
+
+def test_missing_column_is_an_error_and_bad_values_are_counted(spark, tmp_path):
+    import pytest
+
+    from shopsignal.sources import files
+
+    head = "timestamp,session_id,user_id,product_id,event_type,price,user_metadata,product_metadata"
+    meta = '"{""device"":""m""}","{""category"":""C""}"'
+    lines = [f"{ts},S{i},U,P,cart,{price},{meta}" for i, (ts, price) in enumerate(
+        [("2024-01-01 10:00:00", "1"), ("soon", "2"), ("2024-01-01", "cheap"), ("", "3")])]
+    (tmp_path / "a.csv").write_text("\n".join([head, *lines]))
+    r = phases.quality_report(files.read_raw_csv(spark, str(tmp_path / "a.csv"))).first()
+    assert (r.n_rows, r.unparsed_timestamp, r.unparsed_price, r.null_timestamp, r.clean_rows) == (4, 1, 1, 2, 1)
+    (tmp_path / "b.csv").write_text(head.replace("price", "cost") + "\n")
+    with pytest.raises(ValueError, match="price"):
+        files.read_raw_csv(spark, str(tmp_path / "b.csv"))
+
+
+def test_runner_without_pairs(spark):
+    out = scratch_path(spark, "no_pairs")
+    p = phases.run_all(fixtures.raw_logs(spark, SF_SMALL), out, with_pairs=False)
+    assert spark.read.json(p["user_profiles"]).filter("size(recommended_pairs) > 0").count() == 0
+    assert spark.read.parquet(p["campaign"]).count() == 15

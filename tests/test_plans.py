@@ -60,19 +60,19 @@ def test_campaign_pushes_filters_and_prunes_columns(logs):
     plan = formatted(campaign.campaign(logs))
     assert "EqualTo(event_type,cart)" in plan and "EqualTo(event_type,purchase)" in plan
     schemas = read_schemas(plan)
-    # the purchase side of the anti join reads 3 columns; the affinity side 3 as well
-    assert {"session_id", "event_type", "timestamp"} in schemas
-    assert {"user_id", "event_type", "category"} in schemas
+    # the purchase side of the anti join and the met categories read what they join on and nothing else
+    assert {"session_id", "event_type"} in schemas
+    assert {"user_id", "category"} in schemas
     assert no_python(plan)
 
 
-def test_basket_scan_is_pruned_and_self_join_reuses_one_exchange(logs):
+def test_basket_scan_is_pruned_and_counts_combine_map_side(logs):
     df = basket.market_basket_pairs(logs)
     df.collect()  # AQE reuses exchanges when it creates query stages: read the final plan
     plan = formatted(df)
     assert "isFinalPlan=true" in plan and "EqualTo(event_type,purchase)" in plan
     assert {"session_id", "product_id", "event_type"} in read_schemas(plan)
-    assert "ReusedExchange" in plan  # both sides of the self-join read one shuffle on the basket
+    assert "SortMergeJoin" not in plan.split("Initial Plan")[0]  # no big basket: AQE dropped its joins
     assert "partial_count" in plan  # pair counts combine map-side
     assert no_python(plan)
 
@@ -99,3 +99,20 @@ def test_one_pass_counts_scan_once(logs):
     assert n_scans(plan) == 1 and read_schemas(plan) == [{"event_type"}]
     plan = formatted(abandonment.abandoned_items(logs))
     assert n_scans(plan) == 2 and no_python(plan)
+
+
+def test_profiles_are_not_shuffled_on_the_first_category(logs):
+    recs = recommend.recommendations_from_pairs(basket.market_basket_pairs(logs), logs)
+    ranked = affinity.ranked_categories(affinity.affinity_scores(logs))
+    small = recommend.user_profiles(ranked, recs)
+    n = len(small.collect())
+    assert not re.search(r"hashpartitioning\((primary_category|top_categories)", formatted(small))
+    big = recommend.user_profiles(ranked, recs, max_broadcast_rows=0)
+    assert sorted(map(str, big.collect())) == sorted(map(str, small.collect())) and n
+
+
+def test_campaign_without_top_k_equals_the_array_form(logs):
+    profiles = affinity.ranked_categories(affinity.affinity_scores(logs))
+    lazy, arrays = campaign.campaign(logs), campaign.campaign(logs, profiles=profiles)
+    assert lazy.columns == arrays.columns
+    assert sorted(map(str, lazy.collect())) == sorted(map(str, arrays.collect()))

@@ -1,4 +1,5 @@
 from helpers import log_row, raw_df
+from pyspark.sql import functions as F
 
 from shopsignal.operators import quality
 from shopsignal.plans.layout import partition_sizes
@@ -20,6 +21,7 @@ def test_shape_and_event_counts(spark):
 
 
 def test_partition_sizes(spark):
-    df = spark.range(100).repartition(4)
-    sizes = partition_sizes(df).collect()
-    assert sum(r.rows for r in sizes) == 100 and len(sizes) <= 4
+    sizes = partition_sizes(spark.range(100).repartition(4), 4).collect()
+    assert sorted(r.partition for r in sizes) == [0, 1, 2, 3] and sum(r.rows for r in sizes) == 100
+    one_key = partition_sizes(spark.range(100).withColumn("k", F.lit(1)).repartition(8, "k"), 8).collect()
+    assert sorted(r.rows for r in one_key) == [0] * 7 + [100]

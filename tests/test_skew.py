@@ -75,11 +75,12 @@ def test_hot_user_campaign_and_affinity_exact(spark):
     assert got == want
 
     def run_campaign():
-        df = campaign.campaign(logs).select("event_id", "discount_offer")
+        df = campaign.campaign(logs, top_k=2).select("event_id", "discount_offer")
         n = len(df.collect())  # run df's own plan, so the final adaptive plan is shown
         return n, df._jdf.queryExecution().executedPlan().toString()
 
     n, plan = _with_conf(spark, SKEW_CONF, run_campaign)
+    assert campaign.campaign(logs).count() == n
     assert n == len(_brute_abandoned_sessions(local))
     # the hot user's carts are split against the per-user profile lists
     assert any("skew=true" in line and "[user_id" in line for line in plan.splitlines()), plan
@@ -110,7 +111,8 @@ def test_hot_primary_category_profile_join_is_split_and_exact(spark):
     )
 
     def run():
-        df = recommend.user_profiles(affinity.ranked_categories(aff), recommend.category_recommendations(recs))
+        df = recommend.user_profiles(affinity.ranked_categories(aff), recommend.category_recommendations(recs),
+                                     max_broadcast_rows=0)
         got = {r.user_id: (r.top_categories[0].category, list(r.recommended_pairs)) for r in df.collect()}
         return got, df._jdf.queryExecution().executedPlan().toString()
 

@@ -3,6 +3,7 @@ import datetime as dt
 from conftest import _key, rows
 from helpers import log_row, raw_df
 
+from shopsignal.operators.clean import coerce_types
 from shopsignal.operators import store
 from shopsignal.plans import layout
 from shopsignal.schemas import PROFILE
@@ -67,7 +68,7 @@ def test_csv_roundtrip_quotes_newlines_micros(spark):
     t = dt.datetime(2024, 1, 2, 3, 4, 5, 678901)
     df = raw_df(spark, [log_row(1, ts=t, pmeta='{"category":"A, \\"quoted\\"\nline"}'), log_row(2, price=None)])
     path = files.write_csv(df, scratch_path(spark, "csv"))
-    back = files.read_raw_csv(spark, path)
+    back = coerce_types(files.read_raw_csv(spark, path), {"event_id": "bigint"})
     assert rows(back) == rows(df)
 
 
@@ -77,7 +78,8 @@ def test_raw_csv_bad_values_become_null(spark, tmp_path):
         "session_id,user_id,product_id,event_type,timestamp,price,user_metadata,product_metadata,event_id\n"
         "S1,U,I,view,2024-01-01T10:00:00.000000,abc,\"{\"\"device\"\":\"\"m\"\"}\",\"{\"\"category\"\":\"\"C\"\"}\",1\n"
         "S1,U,I,view,yesterday,2.5,,,2\n")
-    back = {r.event_id: r for r in files.read_raw_csv(spark, str(p)).collect()}
+    typed = coerce_types(files.read_raw_csv(spark, str(p)), {"event_id": "bigint"})
+    back = {r.event_id: r for r in typed.collect()}
     assert back[1].price is None and back[1].user_metadata == '{"device":"m"}'
     assert back[2].timestamp is None and back[2].price == 2.5 and back[2].user_metadata is None
 
