@@ -63,6 +63,23 @@ def rdd_shape_pairs(items_df):
     return pairs.map(lambda p: (p, 1)).reduceByKey(lambda a, b: a + b)
 
 
+def rdd_shape_noop(pairs_rdd) -> None:
+    """The RDD shape's result into the same sink as every other job."""
+    run_noop(pairs_rdd.map(lambda kv: (*kv[0], kv[1])).toDF(["item_1", "item_2", "frequency"]))
+
+
+def campaign_array_shape(logs):
+    """The reference's campaign: every user's categories ranked and gathered, then searched per cart."""
+    return campaign.campaign(logs, profiles=affinity.ranked_categories(affinity.affinity_scores(logs)))
+
+
+def profiles_hash_join_shape(logs):
+    """The reference's profiles: recommendations joined to all profiles by a shuffle on the first category."""
+    recs = recommend.recommendations_from_pairs(basket.market_basket_pairs(logs), logs)
+    ranked = affinity.ranked_categories(affinity.affinity_scores(logs))
+    return recommend.user_profiles(ranked, recs, max_broadcast_rows=0)
+
+
 def main() -> None:
     # One shuffle partition per core fits sf0.1 (at most 600k rows); AQE coalesces smaller
     # ones and splits skewed ones at run time.  An interleaved A/B against 2 per core was
@@ -75,7 +92,7 @@ def main() -> None:
     clean_path = files.write_parquet(clean.clean_logs(raw), scratch_path(spark, "bench_clean"))
     prep = time.perf_counter() - t0
     c = files.read_clean_parquet(spark, clean_path)
-    raw_scan = lambda: files.read_raw_csv(spark, raw_csv)
+    raw_scan = lambda: clean.coerce_types(files.read_raw_csv(spark, raw_csv), {"event_id": "bigint"})
     lineitem = fixtures.lineitem_baskets(spark, SF_DIR)
 
     jobs = {
@@ -127,9 +144,11 @@ def main() -> None:
         "three_jobs_clean_written_parquet": timed(written),
         # the phase runner's shape: phase 1 writes the cleaned logs anyway (K1), later phases read them
         "three_jobs_from_phase1_parquet": timed(lambda: three_downstream(c)),
-        "market_basket_pairs_rdd_shape": timed(lambda: rdd_shape_pairs(basket.purchase_items(c)).count()),
-        "lineitem_basket_pairs_rdd_shape": timed(lambda: rdd_shape_pairs(lineitem).count()),
+        "market_basket_pairs_rdd_shape": timed(lambda: rdd_shape_noop(rdd_shape_pairs(basket.purchase_items(c)))),
+        "lineitem_basket_pairs_rdd_shape": timed(lambda: rdd_shape_noop(rdd_shape_pairs(lineitem))),
         "event_counts_one_job_per_count": timed(seven_counts),
+        "campaign_array_shape": timed(lambda: run_noop(campaign_array_shape(c))),
+        "user_profiles_hash_join_shape": timed(lambda: run_noop(profiles_hash_join_shape(c))),
     }
     rows = {
         "raw": raw.count(),
@@ -150,7 +169,8 @@ def main() -> None:
         "runs": RUNS,
         "cpus": CPUS,
         "spark": spark.version,
-        "host": {"cores": os.cpu_count(), "python": platform.python_version()},
+        "host": {"cores": os.cpu_count(), "machine": platform.machine(), "system": platform.release(),
+                 "python": platform.python_version()},
     }
     print(json.dumps(out))
 
