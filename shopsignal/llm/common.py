@@ -71,8 +71,8 @@ def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text
     """Columns ``(r, sub)`` that cut the ascending order (``key`` nulls last, ``tie``) into contiguous buckets.
 
     ``key`` and ``tie`` are long columns.  ``n`` cut points of the key come
-    from one aggregate of that column, so about ``2 n`` buckets hold near
-    equal rows.  Rows equal to a cut point have a bucket of their own, cut
+    from one aggregate of that column, so about ``n`` buckets hold near equal
+    rows.  Rows equal to a cut point have a bucket of their own, cut
     again by the top six bits of ``tie``, so a key that many rows share (or a
     null one) spreads too.
     """
@@ -80,7 +80,10 @@ def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text
     cuts = sorted(set(cuts or []))
     k = F.col(key)
     if cuts:
-        below = F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < k))
+        # How many cut points lie below the key, by binary search.
+        points = F.lit(cuts).cast("array<bigint>")
+        halves = F.lit([1 << i for i in reversed(range(len(cuts).bit_length()))]).cast("array<int>")
+        below = F.aggregate(halves, F.lit(0), lambda n, half: n + F.when(F.get(points, n + half - 1) < k, half).otherwise(0))
         r = F.when(k.isNull(), 2 * len(cuts) + 1).otherwise(2 * below + F.when(k.isin(cuts), 1).otherwise(0))
     else:
         r = F.when(k.isNull(), 1).otherwise(0)

@@ -112,7 +112,7 @@ def write_files(docs: DataFrame, tokenizer_path: str, end_id: int | None, sectio
     docs = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r, sub = order_buckets(docs, n)
+    r, sub = order_buckets(docs, 3 * n)  # several buckets a task even out
     docs = docs.select("doc_id", "text_hash", r.alias("r"), sub.alias("sub"), "text")
     dtype = encoder(tokenizer_path).dtype.str
     ids = docs.mapInArrow(_tokenise(tokenizer_path), "doc_id bigint, text_hash bigint, r int, sub int, ids binary")
