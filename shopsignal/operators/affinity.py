@@ -34,9 +34,10 @@ def ranked_categories(affinity: DataFrame) -> DataFrame:
     """``(user_id, top_categories array<struct<category, score>>)``.
 
     All of a user's categories, ordered by score descending, ties by category
-    descending, null scores last.  A group is one user's categories, so it is
-    bounded by the category catalogue, not by the number of events.  Grouped
-    with ``key_bucket`` so a join on ``user_id`` (the campaign) can split a user
+    descending, null scores last.  A group is one user's distinct categories.
+    Categories are free text, so nothing but the user's own events bounds them;
+    jobs that only ask whether a user met a category (the default campaign) do
+    not build the list.  Grouped with ``key_bucket`` so a join on ``user_id`` (the campaign) can split a user
     with many carts or broadcast the profiles from their measured size.
     """
     grouped = affinity.groupBy("user_id", key_bucket("user_id")).agg(
