@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shopsignal.llm import packing, quality_classifier, quality_rules, simhash
-from shopsignal.llm.common import written
+from shopsignal.llm.common import ship_package, written
 from shopsignal.llm.tokens import vocabulary
 
 END_ID = 0  # appended to every document that is packed
@@ -30,16 +30,19 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def apply_quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled rows of the whole corpus: the rules before it leave hardly a bad one to learn from."""
+    ship_package(spark)
     corpus = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return quality_classifier.keep_good(docs, quality_classifier.train(corpus, labels))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return simhash.keep_one(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return packing.pack(packing.pieces(docs, vocabulary("byte_bpe_50k.json"), END_ID))
 
 

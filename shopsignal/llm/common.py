@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,3 +94,32 @@ def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text
     # Shifted, the signed hash keeps its order.
     sub = F.when(r % 2 == 1, F.shiftright(F.col(tie), 58) + 32).otherwise(0)
     return r.cast("int"), sub.cast("int")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python of the tasks, once per application.
+
+    A driver that found the package in its working folder or on a path of its
+    own may have executors that do not; the sources go to the shared folder
+    and from there to every executor (``addPyFile``).
+    """
+    sc = spark.sparkContext
+    root = Path(__file__).parents[1]
+    if sc.applicationId in _SHIPPED or not root.is_dir():
+        return
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    path = scratch_path(spark, f"{root.name}.zip")
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    try:
+        out.write(bytearray(held.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
