@@ -19,6 +19,7 @@ import re
 import numpy as np
 
 MAX_CACHED_UNITS = 500_000  # in each of two generations; about 200 MB together
+MAX_UNIT_CHARS = 256  # longer ones are not kept
 # Characters of \s in the vocabularies' own patterns.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
@@ -108,6 +109,8 @@ class _Units(dict):
         ids = self.older.get(unit)
         if ids is None:
             ids = self._encode(unit)
+        if len(unit) > MAX_UNIT_CHARS:
+            return ids
         if len(self) >= self.max_units:
             self.older = dict(self)
             self.clear()
