@@ -81,13 +81,13 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     Order: doc_id (nulls last), then text; after the last row comes the first.
     The rows are cut into contiguous buckets, one shuffle brings each bucket
     together, and every bucket also gets a copy of the first row of the one
-    that follows, so no global sort and no single-task window are needed.
+    that follows, so no global sort and no single-task window over the rows are needed.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r, sub = order_buckets(docs, n)
+    r, sub = order_buckets(docs, 3 * n)  # several buckets a task even out
     docs = docs.withColumns({"r": r, "sub": sub})
     # Of each bucket the first row's key: at most a few rows per cut point.
     firsts = docs.groupBy("r", "sub").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
