@@ -131,12 +131,12 @@ class _Units(dict):
                     self.marks.clear()
                 behind = self.marks[marks] = self.whole(marks)
             return self[word] + behind
-        if unit.isascii():
-            word = unit.lower() if self.lowers else unit
-        elif max(unit) >= _LATIN_1:
+        ascii_only = unit.isascii()
+        if not ascii_only and max(unit) >= _LATIN_1:
             return self.whole(self.space + unit)
-        else:
-            word = (unit.lower() if self.lowers else unit).encode().decode("latin-1").translate(self.letters)
+        if self.lowers and (small := unit.lower()) != unit:
+            return self[small]
+        word = unit if ascii_only else unit.encode().decode("latin-1").translate(self.letters)
         id_bytes = self.id_bytes
         return b"".join([id_bytes[t.id] for t in self.model(self.before + word)])
 
