@@ -99,7 +99,7 @@ def compile_rules(n_words: Column, figures: dict[str, Column], rules: tuple[Rule
 
 def with_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``df`` plus the counts, ``base_failed``, ``kept`` (a column of ``df`` with such a name is replaced)."""
-    names = {n: fresh_name(df, f"__qr_{n}") for n in ("text", "words", "hashes", "lines", "windows", "sorted", *COUNTS)}
+    names = {n: fresh_name(df, f"__qr_{n}") for n in ("text", "words", "hashes", "lines", "windows", "sorted", "place", *COUNTS)}
     c = {n: F.col(f"`{v}`") for n, v in names.items()}
     out = df.withColumn(names["text"], text_or_empty(F.col(f"`{text}`")))
     out = out.withColumns({
@@ -133,11 +133,15 @@ def with_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
         lambda s, p: F.struct(p.alias("last"), (s.n + F.least(F.lit(WINDOW), p - s.last)).alias("n")),
         lambda s: s.n,
     )
-    out = out.withColumn(names["n_repeat_words"],
-                         F.when(c["sorted"].isNull(), F.lit(0)).otherwise(covered).cast("long"))
+    # A filter on the verdict would be pushed through all projections, with each figure written out again wherever
+    # it is used.  It stops at this one, because the verdict also asks for a row number (which is always there).
+    out = out.withColumns({
+        names["n_repeat_words"]: F.when(c["sorted"].isNull(), F.lit(0)).otherwise(covered).cast("long"),
+        names["place"]: F.monotonically_increasing_id(),
+    })
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
     figures = ratios(c["n_words"], c["word_chars"], c["n_symbols"], c["n_dup_lines"], F.size(c["lines"]), c["text"])
-    results = {n: c[n] for n in COUNTS} | {"base_failed": failed, "kept": ~failed & compile_rules(c["n_words"], figures, rules)}
+    results = {n: c[n] for n in COUNTS} | {"base_failed": failed, "kept": (c["place"] >= 0) & ~failed & compile_rules(c["n_words"], figures, rules)}
     kept = [F.col(f"`{x}`") for x in df.columns if x.lower() not in results]
     return out.select(*kept, *[v.alias(n) for n, v in results.items()])
 
@@ -145,13 +149,10 @@ def with_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULE
 def keep_good(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``df`` whose text passes, with exactly the columns of ``df``."""
     # The row goes along as one value, so columns called like a figure survive.
-    row, place = fresh_name(df, "__qr_row"), fresh_name(df, "__qr_place")
+    row = fresh_name(df, "__qr_row")
     flagged = with_rules(
         df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(row), F.col(f"`{text}`").alias("text")), "text", rules)
-    # A filter on the verdict alone would be pushed through the projections, with each figure written out again
-    # wherever it is used; it stays above them when it also asks for a row number that is always there.
-    numbered = flagged.select(row, "kept", F.monotonically_increasing_id().alias(place))
-    return numbered.filter(F.col("kept") & (F.col(place) >= 0)).select(*[F.col(row).getField(c).alias(c) for c in df.columns])
+    return flagged.filter("kept").select(*[F.col(row).getField(c).alias(c) for c in df.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:
