@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
-    bpe, fingerprints, lm_scoring, packing, quality_classifier, quality_rules, sharding, simhash, token_files,
-    toxicity,
+    bpe, conversation_repair, fingerprints, html_text, lm_scoring, merkle, packing, quality_classifier, quality_rules,
+    sharding, simhash, token_files, toxicity,
 )
 from .common import ship_package
 
@@ -36,8 +36,12 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": sharding.query,
     "op9_bpe_codec": _in_tasks(bpe.query),
     "op10_document_fingerprints": fingerprints.query,
+    "op11_html_text": _in_tasks(html_text.query),
+    "op12_merkle_manifest": _in_tasks(merkle.query),
+    "op13_conversation_repair": _in_tasks(conversation_repair.query),
 }
 
 ORACLE = {
     "op6_quality_rules": quality_rules.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }

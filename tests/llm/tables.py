@@ -7,6 +7,8 @@ import pyarrow.parquet as pq
 
 DOCUMENTS = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("lang", pa.string()), ("source", pa.string()),
                        ("n_chars", pa.int64())])
+PAGES = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string())])
+CONVERSATIONS = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("text", pa.string())])
 LABELS = pa.schema([("doc_id", pa.int64()), ("quality", pa.int64()), ("toxic", pa.int64())])
 
 SYLLABLES = "an er in on re ti the st nd ou ha wh ea le és ñá ßt".split()
@@ -32,15 +34,25 @@ def awkward(n: int = 60, seed: int = 1) -> list[dict]:
 
 
 def write(folder, documents: list[dict], labels: list[dict] = (), extra: dict | None = None, files: int = 3) -> str:
-    """``folder`` with documents.parquet and labels.parquet; ``extra`` adds columns (name -> value) to documents."""
-    schema = DOCUMENTS
-    for name, value in (extra or {}).items():
-        schema = schema.append(pa.field(name, pa.int64() if isinstance(value, int) else pa.string()))
-    rows = [{**r, **(extra or {})} for r in documents]
-    out = folder / "documents.parquet"
-    out.mkdir(parents=True)
-    for i in range(files):
-        pq.write_table(pa.Table.from_pylist(rows[i::files], schema), out / f"part-{i}.parquet")
+    """``folder`` with documents, labels, and pages and conversations made of the documents; ``extra`` adds columns (name -> value)."""
+    rng = random.Random(3)
+    made = {
+        "documents": (DOCUMENTS, documents),
+        "pages": (PAGES, [{"page_id": d["doc_id"], "url": d["source"],
+                           "html": d["text"] and f"<body><nav><a href=/>menu</a></nav><p>{d['text']}</p></body>"} for d in documents]),
+        "conversations": (CONVERSATIONS, [
+            {"conv_id": d["doc_id"] and d["doc_id"] % 5, "turn": d["n_chars"] and d["n_chars"] % 9,
+             "role": rng.choice(["user", "assistant", "system", None, "", "tool"]), "text": d["text"]} for d in documents]),
+    }
+    for table, (schema, rows) in made.items():
+        for name, value in (extra or {}).items():
+            if name not in schema.names:
+                schema = schema.append(pa.field(name, pa.int64() if isinstance(value, int) else pa.string()))
+        rows = [{**(extra or {}), **r} for r in rows]
+        out = folder / f"{table}.parquet"
+        out.mkdir(parents=True)
+        for i in range(files):
+            pq.write_table(pa.Table.from_pylist(rows[i::files], schema), out / f"part-{i}.parquet")
     pq.write_table(pa.Table.from_pylist(list(labels), LABELS), folder / "labels.parquet")
     return str(folder)
 
