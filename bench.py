@@ -77,7 +77,8 @@ def profiles_hash_join_shape(logs):
     """The reference's profiles: recommendations joined to all profiles by a shuffle on the first category."""
     recs = recommend.recommendations_from_pairs(basket.market_basket_pairs(logs), logs)
     ranked = affinity.ranked_categories(affinity.affinity_scores(logs))
-    return recommend.user_profiles(ranked, recs, max_broadcast_rows=0)
+    first = ranked.withColumn("primary_category", F.get("top_categories", 0).getField("category"))
+    return first.join(recs.hint("merge"), first["primary_category"] == recs["item_category"], "left")
 
 
 def main() -> None:

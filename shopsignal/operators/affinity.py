@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import ranked_to_maps
@@ -52,6 +52,19 @@ def ranked_categories(affinity: DataFrame) -> DataFrame:
     )
 
 
+def top_categories(affinity: DataFrame, k: int) -> DataFrame:
+    """F8 as rows: each user's first ``k`` categories, ``(user_id, category)``, ranked as ``ranked_categories`` ranks them.
+
+    ``row_number <= k`` plans as a group limit in front of the shuffle, so a
+    user sends ``k`` rows a task however many categories they met, and no list
+    is gathered.  ``key_bucket`` as in ``ranked_categories``.
+    """
+    best = Window.partitionBy("user_id", key_bucket("user_id")).orderBy(
+        F.col("total_score").desc_nulls_last(), F.col("category").desc_nulls_last())
+    ranked = affinity.withColumn("_rank", F.row_number().over(best))
+    return ranked.filter(F.col("_rank") <= k).select("user_id", "category")
+
+
 def ranked_category_maps(affinity: DataFrame) -> DataFrame:
     """F7 variant: ``top_categories`` as ``array<map<category, score>>``."""
     return ranked_categories(affinity).select("user_id", ranked_to_maps("top_categories").alias("top_categories"))

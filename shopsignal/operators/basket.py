@@ -9,18 +9,22 @@ AQE's byte-based skew detection can still emit billions of pairs in one task.
 The plan bounds the pair work of every task, is fully lazy, and has one shape
 at every size:
 
-1. Baskets with more than about ``block_size`` distinct items are found by one
-   partially aggregated sketch count per basket.  Usually there are none, and
-   AQE then drops the join with them.
-2. A big basket's items are cut into blocks by item hash; any other basket is
-   one block.  One shuffle on (basket, block) gathers each block's distinct
-   items (repeats are dropped before it) as one sorted array of about
-   ``block_size`` items.
-3. A block's pairs come straight from its array: every item with those after
-   it, so exactly n(n-1)/2 candidates are made.  Two blocks of a big basket
+1. One partially aggregated row count per basket gives the largest basket's
+   rows, an upper bound of its distinct items.  The plan reads that one number
+   as a scalar subquery and sends the rows down one of two ways; the other
+   way gets no rows, and AQE drops its joins.
+2. No basket beyond ``block_size`` rows (the usual case): each basket's set of
+   items is built partially in every map task, so repeats are never shuffled,
+   and merged behind one shuffle on the basket.
+3. Otherwise repeats are removed first, with a shuffle on (basket, item).
+   Baskets with more than ``block_size`` distinct items, counted exactly, are
+   cut into blocks by item hash, any other basket is one block, and a shuffle
+   on (basket, block) gathers each block's items.
+4. A block's items are one sorted array, and its pairs come straight from it:
+   every item with those after it, so exactly n(n-1)/2 candidates are made.  Two blocks of a big basket
    meet by an equi-join on (basket, later block) and pair each item of one with
    each of the other.
-4. ``groupBy(item_1, item_2).count()`` with map-side partial aggregation.
+5. ``groupBy(item_1, item_2).count()`` with map-side partial aggregation.
 
 No rows are dropped or capped.  ``min_support`` above 1 first drops items that
 too few baskets hold, which no frequent pair can contain.
@@ -31,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.joins import key_bucket
+from ..plans.joins import KEY_BUCKETS, key_bucket
 from ..schemas import PURCHASE
 
 DEFAULT_BLOCK_SIZE = 1024
@@ -55,22 +59,50 @@ def session_items(items: DataFrame, basket: str = "session_id", item: str = "pro
 def session_baskets(items: DataFrame, basket: str = "session_id", item: str = "product_id") -> DataFrame:
     """The item set of every basket as one sorted array, ``(basket, items)``.
 
-    One row a basket, whatever its size, so a row is as large as its basket;
-    jobs that do not need the arrays use ``session_items``.
+    Built on two levels: a shuffle on (basket, item) removes repeats, so the
+    rows of a hot basket are spread over all tasks, and the task that
+    gathers a basket receives each of its distinct items once.  One row a basket, whatever
+    its size; jobs that do not need the arrays use ``session_items``.
     """
-    sets = _known(items, basket, item).groupBy(basket).agg(F.collect_set(item).alias("items"))
+    distinct = session_items(items, basket, item)
+    sets = distinct.groupBy(basket).agg(F.collect_list(item).alias("items"))
     return sets.select(basket, F.sort_array("items").alias("items"))
 
 
-def _blocks(known: DataFrame, big: DataFrame, basket: str, item: str, how: str) -> DataFrame:
-    """``(basket, _nblk, _b, _items)``: each block's distinct items, ascending."""
-    nblk = F.coalesce(F.col("_nblk"), F.lit(1))
-    tagged = known.join(big, basket, how).select(
-        basket, item, nblk.alias("_nblk"), F.pmod(F.xxhash64(item), nblk).cast("int").alias("_b"))
-    # Dealt out anew, so that a big basket goes to many tasks even after a join on the basket.
-    spread = tagged.repartition(F.col(basket), F.col("_b"))
-    blocks = spread.groupBy(basket, "_nblk", "_b").agg(F.collect_set(item).alias("_items"))
-    return blocks.withColumn("_items", F.sort_array("_items"))
+# One statement is analysed once, where a chain of DataFrame calls is analysed at every call.  Grouping the sizes by a
+# bucket of the basket too gives the join its own shuffle (plans.joins.key_bucket); the repartition deals a big basket
+# to many tasks even after that join on the basket.
+_BASKET_PAIRS = """
+with largest as (
+  select coalesce(max(n), 0) as n from (select count(1) as n from {known} group by basket)),
+sets as (
+  select basket, sort_array(collect_set(item)) as items
+  from {known} where (select n from largest) <= {block_size} group by basket),
+distinct_rows as (
+  select distinct basket, item from {known} where (select n from largest) > {block_size}),
+sizes as (
+  select basket, count(1) as n from distinct_rows group by basket, pmod(xxhash64(basket), {buckets})),
+big as (
+  select basket, cast(ceil(n / {block_size}) as int) as n_blocks from sizes where n > {block_size}),
+tagged as (
+  select r.basket, item, coalesce(n_blocks, 1) as n_blocks,
+         cast(pmod(xxhash64(item), coalesce(n_blocks, 1)) as int) as block
+  from distinct_rows r left join big on r.basket = big.basket),
+blocks as (
+  select basket, n_blocks, block, sort_array(collect_list(item)) as items
+  from (select /*+ repartition(basket, block) */ * from tagged) group by basket, n_blocks, block),
+within as (
+  select basket, item_1, explode(slice(items, place + 2, size(items))) as item_2
+  from (select basket, items, posexplode(items) as (place, item_1)
+        from (select basket, items from sets union all select basket, items from blocks))),
+earlier as (
+  select basket, items as low, explode(sequence(block + 1, n_blocks - 1)) as block from blocks where block < n_blocks - 1),
+across as (
+  select basket, a, explode(high) as z
+  from (select e.basket, b.items as high, explode(low) as a from earlier e join blocks b on e.basket = b.basket and e.block = b.block))
+select basket, item_1, item_2 from within
+union all select basket, least(a, z), greatest(a, z) from across
+"""
 
 
 def basket_pairs(items: DataFrame, basket: str = "session_id", item: str = "product_id",
@@ -79,22 +111,9 @@ def basket_pairs(items: DataFrame, basket: str = "session_id", item: str = "prod
 
     Rows with a null basket or item take no part.
     """
-    known = _known(items, basket, item)
-    sizes = known.groupBy(basket, key_bucket(basket)).agg(F.approx_count_distinct(item).alias("_n"))
-    big = sizes.filter(F.col("_n") > block_size).select(
-        basket, F.ceil(F.col("_n") / F.lit(block_size)).cast("int").alias("_nblk"))
-
-    within = _blocks(known, big, basket, item, "left")
-    within = within.select(basket, "_items", F.posexplode("_items").alias("_at", "item_1")).select(
-        basket, "item_1", F.explode(F.slice("_items", F.col("_at") + 2, F.size("_items"))).alias("item_2"))
-
-    blocks = _blocks(known, big, basket, item, "inner")
-    earlier = blocks.filter(F.col("_b") < F.col("_nblk") - 1).select(
-        basket, F.col("_items").alias("_lo"), F.explode(F.sequence(F.col("_b") + 1, F.col("_nblk") - 1)).alias("_b"))
-    across = earlier.join(blocks.select(basket, "_b", F.col("_items").alias("_hi")), [basket, "_b"])
-    across = across.select(basket, "_hi", F.explode("_lo").alias("_a")).select(
-        basket, "_a", F.explode("_hi").alias("_z"))
-    return within.unionByName(across.select(basket, F.least("_a", "_z").alias("item_1"), F.greatest("_a", "_z").alias("item_2")))
+    known = _known(items, basket, item).select(F.col(basket).alias("basket"), F.col(item).alias("item"))
+    pairs = items.sparkSession.sql(_BASKET_PAIRS, known=known, buckets=KEY_BUCKETS, block_size=block_size)
+    return pairs.withColumnRenamed("basket", basket)
 
 
 def _frequent(items: DataFrame, basket: str, item: str, min_support: int) -> DataFrame:

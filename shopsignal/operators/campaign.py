@@ -10,7 +10,7 @@ from ..functions.scoring import offer_label
 from ..plans.joins import key_bucket
 from ..schemas import HIGH_DISCOUNT, MARKETING_ACTION, STANDARD_REMINDER
 from .abandonment import abandoned_sessions
-from .affinity import affinity_scores, ranked_categories
+from .affinity import affinity_scores, top_categories
 
 
 def category_lists(profiles: DataFrame, top_k: int | None = None) -> DataFrame:
@@ -31,27 +31,25 @@ def campaign(
     ``top_k`` categories of each profile.  Output: cart columns with
     ``user_id`` first, then ``marketing_action`` and ``discount_offer``.
 
-    Without ``profiles`` and ``top_k`` the offer only asks whether the user
-    ever met the cart's category, so no profile is ranked or gathered: the
-    distinct (user, category) pairs of the logs are joined instead.
+    Without ``profiles`` the offer only asks whether the cart's category is one
+    the user met (or one of their first ``top_k``), so no list is built: those
+    (user, category) pairs of the logs are joined instead.
 
     The profile side reaches the join through its own shuffle (a stored table
-    is a plain scan; lists and pairs are grouped with ``key_bucket``), so AQE
+    is a plain scan; pairs are grouped with ``key_bucket``), so AQE
     either broadcasts it from its measured size or splits a user with many
     abandoned carts over several tasks.
     """
-    past = history if history is not None else current
     carts = abandoned_sessions(current)
-    if profiles is None and top_k is None:
+    if profiles is None:
+        past = history if history is not None else current
         keys = ["user_id", "category"]
-        met = past.select(*keys, key_bucket(*keys)).distinct().select(*keys, F.lit(True).alias("_met"))
-        joined = carts.join(met, on=keys, how="left")
+        met = top_categories(affinity_scores(past), top_k) if top_k else past.select(*keys, key_bucket(*keys)).distinct()
+        joined = carts.join(met.select(*keys, F.lit(True).alias("_met")), on=keys, how="left")
         label = F.when(F.col("_met"), F.lit(HIGH_DISCOUNT)).otherwise(F.lit(STANDARD_REMINDER))
         first = ["user_id", "session_id"]
         rest = [c for c in carts.columns if c not in first]
         return joined.select(*first, *rest, F.lit(MARKETING_ACTION).alias("marketing_action"), label.alias("discount_offer"))
-    if profiles is None:
-        profiles = ranked_categories(affinity_scores(past))
     joined = carts.join(category_lists(profiles, top_k), on="user_id", how="left")
     return (
         joined.withColumn("marketing_action", F.lit(MARKETING_ACTION))

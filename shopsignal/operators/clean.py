@@ -14,11 +14,20 @@ from ..schemas import CART, CRITICAL_COLUMNS, PURCHASE, VIEW
 
 # Timestamp texts beside those a cast reads (ISO dates and times, with ``T`` or a space, a fraction, a zone).
 TIMESTAMP_FORMATS = ("MM/dd/yyyy HH:mm:ss", "yyyy/MM/dd HH:mm:ss")
+# A time of day with something behind it that names a zone: ``Z``, an offset, an abbreviation or a region.
+ZONED = r":\d{1,2}(\.\d+)?\s*(\[?[A-Za-z]|[+-]\d)"
 
 
 def _timestamp(text: Column) -> Column:
-    """A text as a local timestamp; null if no known form fits.  A zone in the text is read and left out."""
-    return F.coalesce(text.try_cast("timestamp_ntz"),
+    """A text as a local time of the session zone (``spark.sql.session.timeZone``); null if no known form fits.
+
+    A text with a zone is an instant, and becomes the local time of that
+    instant; any other text is a local time already and is taken as it stands
+    (so no time is moved by a clock change of the session zone).
+    """
+    instant = text.try_cast("timestamp").cast("timestamp_ntz")
+    local = text.try_cast("timestamp_ntz")
+    return F.coalesce(F.when(text.rlike(ZONED), instant).otherwise(local),
                       *[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in TIMESTAMP_FORMATS])
 
 

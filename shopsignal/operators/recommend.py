@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import empty_string_array, first_category
-from ..plans.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcastable, key_bucket, materialize
+from ..plans.joins import key_bucket
 from ..schemas import PAIRS_PER_CATEGORY
 
 
@@ -64,27 +64,25 @@ def recommendations_from_pairs(pairs: DataFrame, clean: DataFrame, n: int = PAIR
     return category_recommendations(category_top_pairs(with_cat, n))
 
 
-def user_profiles(ranked: DataFrame, recommendations: DataFrame | None = None,
-                  max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def user_profiles(ranked: DataFrame, recommendations: DataFrame | None = None) -> DataFrame:
     """``(user_id, top_categories, recommended_pairs)``.
 
     Recommendations attach by the user's first category (left join).  With no
     recommendation table every user gets an empty list.
 
-    The recommendation side has one row per category and is the end of the
-    longest chain of the job.  It is written and measured first: within the
-    broadcast bounds the profiles, the largest table here, are then joined
-    where they are, and never shuffled onto a handful of categories.  Beyond
-    the bounds both sides are shuffled and AQE splits a hot category.
+    Lazy.  The recommendation side has one row per category.  Where it is a
+    written table (the phase runner writes it), the caller passes it through
+    ``plans.joins.checked_broadcast``, and within the measured bounds the
+    profiles, the largest table here, are joined where they are and never
+    shuffled onto a handful of categories.  A side that is still to be computed reaches the join
+    through its own shuffle: AQE broadcasts it from its measured size, or
+    splits a category that is many users' first one.
     """
     if recommendations is None:
         return ranked.select("user_id", "top_categories", empty_string_array().alias("recommended_pairs"))
-    recs, n, nbytes = materialize(recommendations.select("item_category", "recommended_pairs"))
-    if broadcastable(n, nbytes, max_broadcast_rows):
-        recs = F.broadcast(recs)
     with_primary = ranked.withColumn("primary_category", first_category("top_categories"))
-    joined = with_primary.join(recs, with_primary["primary_category"] == recs["item_category"], "left")
-    return joined.select(
+    recs = recommendations.select("item_category", "recommended_pairs")
+    return with_primary.join(recs, with_primary["primary_category"] == recs["item_category"], "left").select(
         "user_id",
         "top_categories",
         F.coalesce(F.col("recommended_pairs"), empty_string_array()).alias("recommended_pairs"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,24 +18,38 @@ def by_key(df: DataFrame, key: str, n_partitions: int | None = None) -> DataFram
     return df.repartition(n_partitions, key) if n_partitions else df.repartition(key)
 
 
-def clustered(df: DataFrame, key: str, n_partitions: int | None = None, then: str | None = None) -> DataFrame:
+def by_id(df: DataFrame, partition: Column, n_partitions: int) -> DataFrame:
+    """L2 with the partition given as an expression: row ``r`` goes to partition ``partition(r) mod n_partitions``."""
+    return df.repartitionById(n_partitions, partition.cast("int"))
+
+
+def clustered(df: DataFrame, key: str, n_partitions: int | None = None, then: str | Sequence[str | Column] | None = None) -> DataFrame:
     """Q7: range-partition and sort on ``key`` so Parquet min/max stats prune lookups.
 
-    ``then`` is a second range column for a key that may be hot: ranges over
-    ``(key, then)`` cut one key holding a third of all rows into many
+    ``then`` are further range columns for a key that may be hot: ranges over
+    ``(key, *then)`` cut one key holding a third of all rows into many
     partitions (and files), while every file still covers one contiguous
-    stretch of ``key``, so min/max pruning on ``key`` is unchanged.
+    stretch of ``key``, so min/max pruning on ``key`` is unchanged.  With an
+    order in ``then`` (``F.col("score").desc()``) a key's first rows are in its first file.
     """
-    cols = [key] if then is None else [key, then]
+    more = [] if then is None else [then] if isinstance(then, str) else list(then)
+    cols = [key, *more]
     ranged = df.repartitionByRange(n_partitions, *cols) if n_partitions else df.repartitionByRange(*cols)
     return ranged.sortWithinPartitions(*cols)
 
 
-def partition_sizes(df: DataFrame, n_partitions: int) -> DataFrame:
-    """Rows of each of the ``n_partitions`` partitions as ``(partition, rows)``, empty ones included."""
+def partition_sizes(df: DataFrame, n_partitions: int | None = None) -> DataFrame:
+    """Rows of each partition as ``(partition, rows)``, empty ones included.
+
+    The partitions are those of ``df``'s own plan; ``n_partitions`` only says how many
+    are listed at least.  Without it their number is read from the plan (a
+    shuffle in it runs for that).  A partition beyond the number given is
+    reported all the same, so the rows always add up to those of ``df``.
+    """
+    n = df.rdd.getNumPartitions() if n_partitions is None else n_partitions
     rows = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
-    every = df.sparkSession.range(n_partitions).select(F.col("id").cast("int").alias("partition"))
-    return every.join(rows, "partition", "left").select("partition", F.coalesce("rows", F.lit(0)).alias("rows"))
+    every = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"))
+    return every.join(rows, "partition", "full").select("partition", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

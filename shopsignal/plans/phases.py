@@ -8,8 +8,8 @@ storage (and a lost executor only recomputes from the last written table):
 
 1. ``clean_and_basket``  raw CSV -> ``cleaned_logs`` (Parquet), ``market_basket`` (CSV + header),
    plus the quality report (``reports/quality``), observed during the same pass.
-2. ``profiles``          cleaned logs + pairs -> ``affinity_scores`` (Parquet), ``user_profiles`` (JSON).
-3. ``store``             profiles JSON -> profile store (three clustered Parquet tables).
+2. ``profiles``          cleaned logs + pairs -> ``affinity_scores``, ``recommendations`` (Parquet), ``user_profiles`` (JSON).
+3. ``store``             profiles JSON -> a new version of the profile store (clustered Parquet tables).
 4. ``campaign``          cleaned logs + store -> ``campaign`` (Parquet); ``abandoned_items`` (CSV).
 5. ``validate``          campaign -> offer counts, row count text (``reports``).
 """
@@ -27,6 +27,7 @@ from ..operators.clean import coerce_types, keep_condition, unparsed
 from ..schemas import CART, PURCHASE, ROW_COUNT_LABEL, VIEW
 from ..session import checkpoint_root, remove_scratch
 from ..sources import files
+from .joins import checked_broadcast
 from .layout import round_robin, spread
 
 # Whether a raw row has a text that is no timestamp / no price.
@@ -92,7 +93,7 @@ def quality_report(raw: DataFrame) -> DataFrame:
 
 def _paths(out: str) -> dict[str, str]:
     root = out.rstrip("/")
-    names = ["cleaned_logs", "market_basket", "affinity_scores", "user_profiles", "store", "campaign",
+    names = ["cleaned_logs", "market_basket", "affinity_scores", "recommendations", "user_profiles", "store", "campaign",
              "abandoned_items", "reports/quality", "reports/offer_counts", "reports/row_count"]
     return {n: f"{root}/{n}" for n in names}
 
@@ -139,7 +140,8 @@ def profiles(spark: SparkSession, out: str, n_partitions: int | None = None, wit
     recs = None
     if with_pairs:
         pairs = files.read_pairs_csv(spark, p["market_basket"])
-        recs = recommend.recommendations_from_pairs(pairs, cleaned)
+        files.write_parquet(recommend.recommendations_from_pairs(pairs, cleaned), p["recommendations"])
+        recs = checked_broadcast(spark.read.parquet(p["recommendations"]))  # measured on the small written table
     files.write_json(recommend.user_profiles(affinity.ranked_categories(aff), recs), p["user_profiles"], n_partitions)
     return p
 
@@ -154,7 +156,7 @@ def campaign_phase(spark: SparkSession, out: str, n_partitions: int | None = Non
                    top_k: int | None = None) -> dict[str, str]:
     p = _paths(out)
     cleaned = files.read_clean_parquet(spark, p["cleaned_logs"])
-    prof = files.read_profile_store(spark, f"{p['store']}/profiles")
+    prof = files.read_profile_store(spark, store.table_paths(spark, p["store"])["profiles"])
     files.write_parquet(campaign.campaign(cleaned, profiles=prof, top_k=top_k), p["campaign"], n_partitions)
     files.write_csv(abandonment.abandoned_items(cleaned), p["abandoned_items"])
     return p
@@ -193,8 +195,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--no-recommendations", action="store_true", help="profiles without recommended pairs")
     ap.add_argument(
         "--single-line", action="store_true",
-        help="raw CSV has no quoted newlines: read it line by line, so one big file is split over many "
-             "tasks (the default multi-line read, needed for quoted newlines, makes each file one task)",
+        help="raw CSV has no quoted line breaks: read it line by line without looking "
+             "(by default large files are looked through, and those without such a break are split over many tasks)",
     )
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("shopsignal").getOrCreate()
@@ -203,7 +205,7 @@ def main(argv: list[str] | None = None) -> None:
 
     apply_missing(spark, recommended(input_bytes(spark, args.raw or args.sf_dir)))
     if args.raw:
-        raw = files.read_raw_csv(spark, args.raw, multi_line=not args.single_line)
+        raw = files.read_raw_csv(spark, args.raw, multi_line=False if args.single_line else None)
     else:
         from ..fixtures import raw_logs
 

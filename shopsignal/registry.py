@@ -17,7 +17,7 @@ from .fixtures import DUCKDB_CLEAN, DUCKDB_RAW
 from .functions.arrays import category_list, first_category, format_pairs, format_ranked, format_ranked_maps
 from .operators import abandonment, affinity, basket, campaign, clean, quality, recommend, store
 from .fixtures import CLEAN_WITH_ID, RAW_WITH_ID
-from .plans.layout import by_key, partition_sizes, round_robin
+from .plans.layout import by_id, by_key, partition_sizes, round_robin
 from .session import scratch_path
 from .sources import files
 
@@ -29,6 +29,7 @@ LOOKUP_CATEGORY = "ECONOMY"
 LOOKUP_ITEM = "ITEM_25"
 LOOKUP_ITEM_MISSING = "ITEM_1874"
 HISTORY_SPLIT = "2024-01-15 00:00:00"
+_SECONDS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 # ------------------------------------------------------------------ shared
@@ -90,6 +91,20 @@ def q_scan_csv_logs_by_name(spark, sf):
     return _typed(_foreign_csv(spark, sf)).select(RAW_WITH_ID.names)
 
 
+def q_scan_csv_logs_zoned(spark, sf):
+    """The raw logs from a CSV whose times are texts in four zones: none, UTC, an offset and a region."""
+    raw, zone = _raw(spark, sf), F.current_timezone()
+
+    def in_zone(name: str, behind: str):
+        return F.concat(F.date_format(F.convert_timezone(zone, F.lit(name), F.col("timestamp")), _SECONDS), F.lit(behind))
+
+    kind = F.col("event_id") % 4
+    text = (F.when(kind == 0, F.date_format("timestamp", _SECONDS)).when(kind == 1, in_zone("UTC", "Z"))
+            .when(kind == 2, in_zone("Asia/Karachi", "+05:00")).otherwise(in_zone("America/New_York", " America/New_York")))
+    path = files.write_csv(raw.withColumn("timestamp", text), scratch_path(spark, "zoned_csv"))
+    return _typed(files.read_raw_csv(spark, path))
+
+
 def q_clean_csv_logs(spark, sf):
     return clean.clean_logs(_typed(_foreign_csv(spark, sf))).select(CLEAN_WITH_ID.names)
 
@@ -185,11 +200,13 @@ def q_abandoned_count(spark, sf):
 
 
 def q_partition_sizes(spark, sf):
-    # By type: fewer types than partitions, so some partitions are empty and still reported.
-    sizes = partition_sizes(by_key(_clean(spark, sf), "event_type", 8), 8)
-    return sizes.agg(
-        F.count(F.lit(1)).alias("n_partitions"), F.sum("rows").cast("bigint").alias("total_rows"),
-        (F.count_if(F.col("rows") == 0) >= 3).alias("some_empty"))
+    """Rows of each of 8 partitions, three of them empty."""
+    return partition_sizes(by_id(_clean(spark, sf), F.col("event_id") % 5, 8), 8)
+
+
+def q_partition_sizes_beyond(spark, sf):
+    """Five partitions where two are asked for: all rows are reported."""
+    return partition_sizes(by_id(_clean(spark, sf), F.col("event_id") % 5, 5), 2)
 
 
 def q_layout_round_robin(spark, sf):
@@ -363,7 +380,18 @@ def q_quality_report(spark, sf):
 
 def q_users_by_category_indexed(spark, sf):
     paths = store.publish_profiles(_profiles(spark, sf), scratch_path(spark, "store_idx"))
-    return store.users_by_category_indexed(spark.read.parquet(paths["by_category"]), LOOKUP_CATEGORY, 3)
+    by_category, parts = (spark.read.parquet(paths[t]) for t in ("by_category", "by_category_parts"))
+    return store.users_by_category_indexed(by_category, parts, LOOKUP_CATEGORY, 3)
+
+
+def q_store_versions(spark, sf):
+    """A store published twice, first without recommendations: the profiles each version has."""
+    root = scratch_path(spark, "store_versions")
+    store.publish_profiles(recommend.user_profiles(_ranked(spark, sf), None), root)
+    store.publish_profiles(_profiles(spark, sf), root)
+    read = [store.read_store(spark, root, version=v) for v in store.versions(spark, root)]
+    figures = [F.count(F.lit(1)).alias("users"), F.sum(F.size("recommended_pairs")).alias("recommended")]
+    return read[0].agg(F.lit(1).alias("version"), *figures).unionByName(read[-1].agg(F.lit(2).alias("version"), *figures))
 
 
 def q_users_by_item_indexed(spark, sf):
@@ -380,6 +408,7 @@ def q_profile_by_user_indexed(spark, sf):
 QUERIES: dict[str, Query] = {
     "scan_csv_logs": q_scan_csv_logs,
     "scan_csv_logs_by_name": q_scan_csv_logs_by_name,
+    "scan_csv_logs_zoned": q_scan_csv_logs_zoned,
     "clean_csv_logs": q_clean_csv_logs,
     "scan_parquet_logs": q_scan_parquet_logs,
     "cleaned_csv_roundtrip": q_cleaned_csv_roundtrip,
@@ -403,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "row_count": q_row_count,
     "abandoned_count": q_abandoned_count,
     "partition_sizes": q_partition_sizes,
+    "partition_sizes_beyond": q_partition_sizes_beyond,
     "layout_round_robin": q_layout_round_robin,
     "layout_by_session": q_layout_by_session,
     "reuse_written_logs": q_reuse_written_logs,
@@ -441,6 +471,7 @@ QUERIES: dict[str, Query] = {
     "store_by_item": q_store_by_item,
     "quality_report": q_quality_report,
     "users_by_category_indexed": q_users_by_category_indexed,
+    "store_versions": q_store_versions,
     "users_by_item_indexed": q_users_by_item_indexed,
     "profile_by_user_indexed": q_profile_by_user_indexed,
 }
@@ -529,6 +560,7 @@ _BEFORE = f"\"timestamp\" < timestamp '{HISTORY_SPLIT}'"
 ORACLE: dict[str, str] = {
     "scan_csv_logs": _with() + f"select {_RAW_COLS} from raw",
     "scan_csv_logs_by_name": _with() + f"select {_RAW_COLS} from raw",
+    "scan_csv_logs_zoned": _with() + f"select {_RAW_COLS} from raw",
     "clean_csv_logs": _with() + "select * from clean",
     "scan_parquet_logs": _with() + "select * from clean",
     "cleaned_csv_roundtrip": _with() + "select * from clean",
@@ -560,7 +592,9 @@ ORACLE: dict[str, str] = {
     "count(*) all_rows from clean)",
     "row_count": _with() + "select count(*) total_rows from clean",
     "abandoned_count": _with(_ABANDONED_ITEMS) + "select count(*) abandoned from ab_items",
-    "partition_sizes": _with() + "select 8 n_partitions, count(*) total_rows, true some_empty from clean",
+    "partition_sizes": _with() + "select p::integer \"partition\", count(event_id) \"rows\" "
+    "from range(8) r(p) left join clean on event_id % 5 = p group by p",
+    "partition_sizes_beyond": _with() + "select (event_id % 5)::integer \"partition\", count(*) \"rows\" from clean group by 1",
     "layout_round_robin": _with() + "select * from clean",
     "layout_by_session": _with() + "select session_id, count(*) n, 1 partitions from clean group by session_id",
     "reuse_written_logs": _with()
@@ -631,6 +665,9 @@ ORACLE: dict[str, str] = {
     "users_by_category_indexed": _with(_AFFINITY)
     + f"select user_id, total_score score from affinity where category = '{LOOKUP_CATEGORY}' "
     "order by score desc nulls last, user_id limit 3",
+    "store_versions": _with(*_PROFILE_CTES)
+    + "select 1 version, count(*) users, 0::bigint recommended from profiles union all select 2, count(*), "
+    "sum(case when recommended_pairs = '' then 0 else len(string_split(recommended_pairs, '|')) end)::bigint from profiles",
     "users_by_item_indexed": _with(*_PROFILE_CTES)
     + f"select user_id from profiles where list_contains(string_split(recommended_pairs, '|'), '{LOOKUP_ITEM}') "
     "order by user_id limit 5",

@@ -10,8 +10,10 @@ timestamps are written in a microsecond format, so a round trip is exact.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..plans.layout import round_robin
@@ -29,18 +31,59 @@ def _require(df: DataFrame, columns: Iterable[str], path: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- readers
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def _odd_quotes(line: Column) -> Column:
+    """Whether a line has an odd number of quotes, as the first line of a quoted line break has."""
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
+def csv_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, length, multi_line)`` of every file under ``path``: whether it has to be read as a whole.
+
+    A file no larger than a scan split (``spark.sql.files.maxPartitionBytes``)
+    is one task either way and counts as multi-line unread.  Of a larger one
+    every line is looked at, by many tasks: a line break inside quotes leaves
+    a line with an odd number of them (an escaped quote is two), and only such
+    a file cannot be split.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    listed = listed.select("path", "length", F.col("_metadata.file_path").alias("_file"))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    large = [r["path"] for r in listed.filter(F.col("length") > split).select("path").collect()]
+    if not large:
+        return listed.select("path", "length", F.lit(True).alias("multi_line"))
+    lines = spark.read.text(large).select(F.col("_metadata.file_path").alias("_file"), _odd_quotes(F.col("value")).alias("_odd"))
+    broken = lines.groupBy("_file").agg(F.max("_odd").alias("_broken"))
+    multi_line = F.coalesce(F.col("_broken"), F.lit(True))
+    return listed.join(broken, "_file", "left").select("path", "length", multi_line.alias("multi_line"))
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Raw log CSV with a header: every column, by its name, as text (empty: null).
 
     A missing required column is an error; the order of the columns is free and
     further columns are kept.  ``clean.coerce_types`` (the first step of every
     job on raw logs) gives timestamps and prices their types.
 
-    ``multi_line`` allows quoted newlines but makes each file one split; for
-    very large inputs supply many files, or pass ``multi_line=False``.
+    Quoted line breaks are read as such, and a file without them is split over many tasks:
+    ``csv_files`` tells which large files have any (one more pass over the large files).
+    ``multi_line`` saves that pass where the answer is known: True reads every
+    file as a whole, False line by line.
     """
-    df = spark.read.options(header="true", nullValue="", multiLine=str(multi_line).lower(), escape='"').csv(path)
-    return _require(df, RAW.names, path)
+    reader = spark.read.options(header="true", nullValue="", escape='"')
+    if multi_line is not None:
+        return _require(reader.options(multiLine=str(multi_line).lower()).csv(path), RAW.names, path)
+    whole, split = [], []
+    for f in csv_files(spark, path).collect():  # the listing that every scan keeps on the driver
+        (whole if f["multi_line"] else split).append(f["path"])
+    if not split:
+        return read_raw_csv(spark, path, multi_line=True)
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(root) and fs.getFileStatus(root).isDirectory():
+        reader = reader.option("basePath", path)  # columns that stand in folder names
+    parts = [_require(reader.options(multiLine=str(flag).lower()).csv(paths), RAW.names, path)
+             for paths, flag in ((split, False), (whole, True)) if paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_clean_parquet(spark: SparkSession, path: str) -> DataFrame:

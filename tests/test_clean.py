@@ -82,3 +82,20 @@ def test_timestamp_texts_of_ordinary_logs(spark):
     assert [str(t)[:19] for t in got[:-2]] == ["2024-01-01 10:00:00"] * len(texts) and got[-2:] == [None, None]
     bad = clean.unparsed(df)
     assert df.filter(bad["timestamp"]).count() == 1 and df.filter(bad["price"]).count() == 0
+
+
+def test_zoned_timestamps_are_instants(spark):
+    """Texts with a zone name one instant, told in the session zone; a text without one is a local time."""
+    ten_utc = ["2024-01-01T10:00:00Z", "2024-01-01 15:00:00+05:00", "2024-01-01T05:00:00.000-0500", "2024-01-01 10:00:00 UTC",
+               "2024-01-01 05:00:00 America/New_York", "2024-01-01 11:00:00.0 Europe/Berlin", "2024-01-01T10:00:00+00"]
+    local = ["2024-01-01 10:00:00", "2024-01-01T10:00:00.000", "01/01/2024 10:00:00", "2024-03-10 02:30:00", "2024-01-05"]
+    df = spark.createDataFrame([(t, "1") for t in ten_utc + local + ["2024-01-01 10:00:00 Mars/Base"]], "timestamp string, price string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone, hour in (("UTC", 10), ("America/Los_Angeles", 2), ("Asia/Karachi", 15)):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [str(r.timestamp) for r in clean.coerce_types(df).collect()]
+            assert got[:len(ten_utc)] == [f"2024-01-01 {hour:02d}:00:00"] * len(ten_utc)
+            assert got[len(ten_utc):] == ["2024-01-01 10:00:00"] * 3 + ["2024-03-10 02:30:00", "2024-01-05 00:00:00", "None"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -22,13 +22,6 @@ def test_checked_broadcast_needs_both_bounds(spark):
     assert joins.checked_broadcast(df, max_rows=None) is df
 
 
-def test_materialize_measures_rows_and_bytes(spark):
-    df = spark.createDataFrame([("abc",), ("de",)], "s string")
-    saved, n, nbytes = joins.materialize(df)
-    assert n == 2 and nbytes == (16 + 8 + 3) + (16 + 8 + 2)
-    assert sorted(r.s for r in saved.collect()) == ["abc", "de"]
-
-
 def test_key_bucket_forms_the_same_groups(spark):
     data = [(None if i % 11 == 0 else f"K{i % 37}", i) for i in range(2000)]
     df = spark.createDataFrame(data, "k string, v long")

@@ -13,6 +13,7 @@ from conftest import SF_SMALL
 
 from shopsignal import fixtures
 from shopsignal.operators import abandonment, affinity, basket, campaign, clean, quality, recommend
+from shopsignal.plans.joins import checked_broadcast
 from shopsignal.session import scratch_path
 from shopsignal.sources import files
 
@@ -101,14 +102,32 @@ def test_one_pass_counts_scan_once(logs):
     assert n_scans(plan) == 2 and no_python(plan)
 
 
-def test_profiles_are_not_shuffled_on_the_first_category(logs):
-    recs = recommend.recommendations_from_pairs(basket.market_basket_pairs(logs), logs)
+def test_profiles_are_not_shuffled_on_the_first_category(spark, logs):
+    """Beside a written and measured recommendation table; one still to be computed starts no job."""
     ranked = affinity.ranked_categories(affinity.affinity_scores(logs))
-    small = recommend.user_profiles(ranked, recs)
+    sc = spark.sparkContext
+    sc.setJobGroup("profiles", "building only")
+    try:
+        recs = recommend.recommendations_from_pairs(basket.market_basket_pairs(logs), logs)
+        lazy = recommend.user_profiles(ranked, recs)
+        assert not sc.statusTracker().getJobIdsForGroup("profiles")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    table = spark.read.parquet(files.write_parquet(recs, scratch_path(spark, "recommendations")))
+    small = recommend.user_profiles(ranked, checked_broadcast(table))
     n = len(small.collect())
     assert not re.search(r"hashpartitioning\((primary_category|top_categories)", formatted(small))
-    big = recommend.user_profiles(ranked, recs, max_broadcast_rows=0)
-    assert sorted(map(str, big.collect())) == sorted(map(str, small.collect())) and n
+    beyond = recommend.user_profiles(ranked, checked_broadcast(table, max_rows=1))
+    assert n and sorted(map(str, lazy.collect())) == sorted(map(str, small.collect())) == sorted(map(str, beyond.collect()))
+
+
+def test_campaign_top_k_cuts_each_user_before_the_shuffle(logs):
+    df = campaign.campaign(logs, top_k=2)
+    plan = formatted(df)
+    assert "WindowGroupLimit" in plan and "Partial" in plan and "collect_list" not in plan
+    lists = campaign.campaign(logs, profiles=affinity.ranked_categories(affinity.affinity_scores(logs)), top_k=2)
+    assert df.columns == lists.columns
+    assert sorted(map(str, df.collect())) == sorted(map(str, lists.collect()))
 
 
 def test_campaign_without_top_k_equals_the_array_form(logs):

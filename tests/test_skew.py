@@ -34,7 +34,7 @@ def _skewed_logs(spark, n=3000):
             s = i % 200
             specs.append((f"S{s}", f"User_{s % 50}", f"ITEM_{i % 17}", ["view", "cart", "purchase"][i % 3]))
     return clean.clean_logs(raw_df(spark, [
-        log_row(i, session=s, user=u, product=p, event=e, pmeta='{"category":"C%d"}' % (i % 5))
+        log_row(i, session=s, user=u, product=p, event=e, pmeta='{"category":"C%d"}' % (0 if s == "HOT" else i % 5))
         for i, (s, u, p, e) in enumerate(specs)
     ])).repartition(16)
 
@@ -82,7 +82,7 @@ def test_hot_user_campaign_and_affinity_exact(spark):
     n, plan = _with_conf(spark, SKEW_CONF, run_campaign)
     assert campaign.campaign(logs).count() == n
     assert n == len(_brute_abandoned_sessions(local))
-    # the hot user's carts are split against the per-user profile lists
+    # the hot user's carts (of one category) are split against the first categories of every user
     assert any("skew=true" in line and "[user_id" in line for line in plan.splitlines()), plan
 
 
@@ -111,8 +111,7 @@ def test_hot_primary_category_profile_join_is_split_and_exact(spark):
     )
 
     def run():
-        df = recommend.user_profiles(affinity.ranked_categories(aff), recommend.category_recommendations(recs),
-                                     max_broadcast_rows=0)
+        df = recommend.user_profiles(affinity.ranked_categories(aff), recommend.category_recommendations(recs))
         got = {r.user_id: (r.top_categories[0].category, list(r.recommended_pairs)) for r in df.collect()}
         return got, df._jdf.queryExecution().executedPlan().toString()
 
@@ -182,3 +181,48 @@ def test_hot_item_pairs_category_join_is_split_and_exact(spark):
                   + [(f"B{i % 300:03d}", f"Z{i:04d}") for i in range(3000)] for c in cats[a])
     assert got == want  # multi-category fan-out kept
     assert any("skew=true" in line and "[item_1" in line for line in plan.splitlines()), plan
+
+
+def _shuffled_rows(df):
+    """Rows written by each shuffle of the plan that ran."""
+    df.collect()
+    out = []
+
+    def walk(plan):
+        if plan.nodeName().startswith("Exchange"):
+            out.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        children = [plan.children().apply(i) for i in range(plan.children().size())]
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            children = [plan.executedPlan()]
+        elif "QueryStage" in plan.nodeName():
+            children = [plan.plan()]
+        for c in children:
+            walk(c)
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def test_repeats_in_a_hot_basket_are_never_shuffled(spark):
+    """One item bought again and again in a hot session, alone and beside a big basket."""
+    repeats = [("HOT", "SAME")] * 9000 + [("HOT", f"I{i}") for i in range(30)] + [(f"S{i}", f"I{i % 7}") for i in range(300)] * 3
+    df = spark.createDataFrame(repeats, "session_id string, product_id string").repartition(8).persist()
+    from test_basket import brute_pairs
+
+    distinct = len(set(repeats))
+    for block_size in (20_000, 16):  # no big basket; a big one
+        pairs = basket.basket_pairs(df, block_size=block_size)
+        assert max(_shuffled_rows(pairs)) <= 8 * distinct  # each of eight map tasks sends an item once at most
+        assert rows(basket.pair_frequencies(df, block_size=block_size)) == brute_pairs(repeats)
+    sets = basket.session_baskets(df)
+    assert max(_shuffled_rows(sets)) <= 8 * distinct
+    assert {r.session_id: r["items"] for r in sets.collect()}["HOT"] == sorted({i for b, i in repeats if b == "HOT"})
+    df.unpersist()
+
+
+def test_session_set_is_gathered_from_distinct_items_only(spark):
+    """A session with a third of all rows: the task that builds its set reads each distinct item once."""
+    items = [("HOT", f"I{i % 50}") for i in range(6000)] + [(f"S{i % 400}", f"I{i % 31}") for i in range(12000)]
+    df = spark.createDataFrame(items, "session_id string, product_id string").repartition(8)
+    written = _shuffled_rows(basket.session_baskets(df))
+    assert written[0] <= len(set(items)) < sum(written)  # the last shuffle, which gathers, and that of the distinct rows
