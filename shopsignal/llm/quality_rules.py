@@ -33,25 +33,25 @@ STOP_WORDS = (
 
 @dataclass(frozen=True)
 class Rule:
-    """``low <= ratio <= high``, judged once the text has at least ``min_words`` words."""
+    """``low <= ratio <= high`` (None: no bound), judged once the text has at least ``min_words`` words."""
 
     name: str
-    low: float
-    high: float
+    low: float | None
+    high: float | None
     min_words: int = MIN_WORDS
 
 
 # The table: figures are defined in ``ratios``.
 RULES = (
     Rule("mean_word_chars", 2.5, 14.0),
-    Rule("symbol_ratio", 0.0, 0.05),
-    Rule("exclamation_ratio", 0.0, 0.3),
-    Rule("wordless_token_ratio", 0.0, 0.3),
-    Rule("upper_ratio", 0.0, 0.5, 20),
-    Rule("stop_word_ratio", 0.02, 1.0, 50),
-    Rule("dup_line_ratio", 0.0, 0.5),
-    Rule("ellipsis_line_ratio", 0.0, 0.5),
-    Rule("bullet_line_ratio", 0.0, 0.9),
+    Rule("symbol_ratio", None, 0.05),
+    Rule("exclamation_ratio", None, 0.3),
+    Rule("wordless_token_ratio", None, 0.3),
+    Rule("upper_ratio", None, 0.5, 20),
+    Rule("stop_word_ratio", 0.02, None, 50),
+    Rule("dup_line_ratio", None, 0.5),
+    Rule("ellipsis_line_ratio", None, 0.5),
+    Rule("bullet_line_ratio", None, 0.9),
 )
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -90,10 +90,16 @@ def ratios(n_words: Column, word_chars: Column, n_symbols: Column, n_dup_lines:
 
 
 def compile_rules(n_words: Column, figures: dict[str, Column], rules: tuple[Rule, ...] = RULES) -> Column:
-    """The table as one boolean expression: true if a text breaks none of the rules."""
+    """The table as one boolean expression: true if a text breaks none of the rules.
+
+    Only bounds that are there are compared, since a filter writes a figure out once for each comparison.
+    """
     verdict = F.lit(True)
     for rule in rules:
-        verdict = verdict & ((n_words < rule.min_words) | figures[rule.name].between(rule.low, rule.high))
+        figure = figures[rule.name]
+        low = F.lit(True) if rule.low is None else figure >= rule.low
+        high = F.lit(True) if rule.high is None else figure <= rule.high
+        verdict = verdict & ((n_words < rule.min_words) | (low & high))
     return verdict
 
 
