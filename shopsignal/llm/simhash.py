@@ -30,10 +30,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_name, text_or_empty, written
+from ..plans.joins import checked_broadcast, key_bucket
+from .common import text_or_empty, written
 
 SHINGLE = 3
 RADIUS = 3
@@ -206,7 +208,9 @@ def links(fps: DataFrame, radius: int = RADIUS, max_tree: int = MAX_TREE, n: int
     masks = _shard_masks(fps.count() if n is None else n, radius)
     shards = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(signed(m)))) for i, m in enumerate(masks)])
     members = fps.select("fp", F.explode(shards).alias("shard"))
-    sizes = members.groupBy("shard").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
+    # key_bucket: the join shuffles the sizes on its own, so AQE can split a shard that many fingerprints share.
+    sizes = members.groupBy("shard", key_bucket("shard")).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
+    sizes = sizes.select("shard", "size")
     blocks = F.ceil(F.col("size") / max_tree)
     members = (
         members.join(sizes, "shard")  # also drops shards of one
@@ -223,13 +227,16 @@ def links(fps: DataFrame, radius: int = RADIUS, max_tree: int = MAX_TREE, n: int
 
 # ---------------------------------------------------------------- classes
 def _stars(edges: DataFrame) -> DataFrame:
-    """One large-star and one small-star step (Kiveris et al., 2014) over edges with a > b."""
+    """One large-star and one small-star step (Kiveris et al., 2014) over edges with a > b.
+
+    The least neighbours are grouped with ``key_bucket``, so the joins can split the hub of a huge class.
+    """
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = both.groupBy("a", key_bucket("a")).agg(F.least(F.min("b"), F.col("a")).alias("m")).select("a", "m")
     # Every neighbour above a node is tied to the least node around it.
     large = both.join(least, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     large = large.filter(F.col("a") != F.col("b")).distinct()
-    least = large.groupBy("a").agg(F.min("b").alias("m"))
+    least = large.groupBy("a", key_bucket("a")).agg(F.min("b").alias("m")).select("a", "m")
     # Every neighbour below a node, and the node, is tied to the least of them.
     small = large.join(least, "a").select(F.col("b").alias("x"), "m").union(least.select(F.col("a").alias("x"), "m"))
     return small.filter(F.col("x") != F.col("m")).select(F.col("x").alias("a"), F.col("m").alias("b")).distinct()
@@ -265,18 +272,39 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """``docs`` as rows of files, which have a place that every read of them gives again (written first if they are none)."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+        return docs
+    except AnalysisException:
+        return written(docs, "simhash_rows")
+
+
 def keep_one(docs: DataFrame, text: str = "text", order: str = "doc_id", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
-    """One row of every class: the smallest ``order`` value (nulls last; ties: the row written first), all its columns."""
-    fp, row = fresh_name(docs, "__sh_fp"), fresh_name(docs, "__sh_row")
-    rows = written(
-        docs.withColumns({fp: fingerprint_column(F.col(f"`{text}`"), shingle), row: F.monotonically_increasing_id()}),
-        "simhash_rows")
-    narrow = rows.select(F.col(fp).alias("fp"), F.struct(F.col(f"`{order}`").isNull(), F.col(f"`{order}`"), F.col(row).alias("row")).alias("o"))
+    """One row of every class: the smallest ``order`` value (nulls last; ties: the first by file and row), all its columns.
+
+    Decided on narrow rows (fingerprint, order, file and row).  The rows that
+    go are few numbers each; while they measure within the broadcast bounds,
+    the texts are read once more and never shuffled.
+    """
+    docs = _identified(docs)
+    place = docs.metadataColumn("_metadata")
+    file, row = F.xxhash64(place["file_path"]), place["row_index"]
+    narrow = written(
+        docs.select(fingerprint_column(F.col(f"`{text}`"), shingle).alias("fp"), F.col(f"`{order}`").isNull().alias("no_order"),
+                    F.col(f"`{order}`").alias("order"), file.alias("file"), row.alias("row")), "simhash_narrow")
+    narrow = narrow.select("fp", F.struct("no_order", "order", "file", "row").alias("o"))
     roots = class_roots(narrow, radius)
-    first = narrow.groupBy("fp").agg(F.min("o").alias("o")).join(roots, "fp").groupBy("root").agg(F.min("o").alias("o"))
-    stays = first.select(F.col("o.row").alias(row))
-    return rows.join(stays, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # A group of copies meets as one row a task; key_bucket lets the join with all rows split it.
+    first = narrow.groupBy("fp").agg(F.min("o").alias("o")).join(roots, "fp").groupBy("root").agg(F.min("o").alias("first"))
+    first = roots.join(first, "root").groupBy("fp", key_bucket("fp")).agg(F.first("first").alias("first")).select("fp", "first")
+    gone = narrow.join(first, "fp").filter(F.col("o") != F.col("first")).select(
+        F.col("o.file").alias("__sh_file"), F.col("o.row").alias("__sh_row"))
+    gone = checked_broadcast(written(gone, "simhash_gone"))
+    stays = docs.join(gone, (file == F.col("__sh_file")) & (row == F.col("__sh_row")), "left_anti")
+    return stays.select(*[docs[f"`{c}`"] for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,3 +215,44 @@ def test_sketches_merge_and_estimate(spark):
 
 def test_fresh_name_avoids_every_case(spark):
     assert common.fresh_name(spark.createDataFrame([(1, 2)], "__X long, y long"), "__x") == "___x"
+
+
+def test_simhash_splits_a_hot_shard_and_a_hub(spark):
+    """Thousands of fingerprints in one class: the joins on shard and hub are ones AQE can split, and the class is whole."""
+    rng = random.Random(4)
+    centre = rng.getrandbits(64)
+    near = {centre ^ (1 << a) ^ (1 << b) ^ (1 << c) for a, b, c in ((rng.randrange(64), rng.randrange(64), rng.randrange(64)) for _ in range(3000))}
+    far = {rng.getrandbits(64) for _ in range(3000)}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    fps = spark.createDataFrame([(signed(x),) for x in sorted(near | far | {centre})], "fp bigint").repartition(8)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        roots = {r["fp"]: r["root"] for r in simhash.class_roots(fps).collect()}
+        edges = spark.createDataFrame([(i, -1) for i in range(20_000)] + [(i + 1, i) for i in range(20_000, 20_400, 2)], "a bigint, b bigint")
+        stars = simhash._stars(edges.repartition(16))
+        stars.collect()
+        plan = stars._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len({roots[signed(x)] for x in near | {centre}}) == 1
+    assert len(roots) == len(near | far | {centre})
+    assert "skew=true" in plan
+
+
+def test_keep_one_moves_no_text(spark, tmp_path):
+    """Texts are read again, not shuffled, while the rows that go are few; the result is the same beyond that, and of a computed table."""
+    folder = write(tmp_path / "d", awkward() * 2, [], {"fp": 1, "o": 2, "row": 3, "file": "x"})
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    one = simhash.keep_one(docs)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert one.columns == docs.columns
+    held = lambda df: sorted(map(repr, df.collect()))
+    kept = held(one)
+    assert held(simhash.keep_one(docs.orderBy("doc_id"))) == kept and 0 < len(kept) < docs.count() / 2
