@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..plans.joins import checked_broadcast
 from .common import text_or_empty, written
 from .tokens import encoder, in_chunks, vocabulary
 
 CAPACITY = 2048
-RANK_BUCKETS = 64  # equal lengths are numbered in so many parts
+RANK_ROWS = 100_000  # equal lengths are numbered in parts of about so many
 
 
 class OpenBins:
@@ -133,17 +134,18 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = CA
 def pack(items: DataFrame, length: str = "length", capacity: int = CAPACITY) -> DataFrame:
     """``items`` plus ``sequence_id`` and ``offset`` (``items`` must have neither, nor names that begin with __pack)."""
     rows = written(items.withColumn("__pack_row", F.monotonically_increasing_id()), "pieces")
-    rows = rows.withColumn("__pack_part", F.pmod(F.xxhash64("__pack_row"), F.lit(RANK_BUCKETS)))
-    # At most capacity x RANK_BUCKETS rows; equal lengths are numbered part by part.
+    counts = {r[0]: r[1] for r in rows.groupBy(length).agg(F.count(F.lit(1))).collect()}  # at most `capacity` rows
+    # Equal lengths are numbered part by part, in as many parts as their number asks for.
+    n_parts = F.lit([-(-counts.get(x, 0) // RANK_ROWS) for x in range(capacity + 1)]).cast("array<int>")
+    rows = rows.withColumn("__pack_part", F.pmod(F.xxhash64("__pack_row"), F.get(n_parts, F.col(length).cast("int"))))
     parts = rows.groupBy(length, "__pack_part").agg(F.count(F.lit(1)).alias("__pack_n"))
     upto = Window.partitionBy(length).orderBy("__pack_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = written(parts.withColumn("__pack_before", F.sum("__pack_n").over(upto) - F.col("__pack_n")), "length_counts")
-    counts = {r[0]: r[1] for r in parts.groupBy(length).agg(F.sum("__pack_n")).collect()}  # at most `capacity` rows
     table, _ = best_fit_decreasing(counts, capacity)
     shared = items.sparkSession.sparkContext.broadcast(table)
     in_part = Window.partitionBy(length, "__pack_part").orderBy("__pack_row")
     ranked = rows.withColumn("__pack_nth", F.row_number().over(in_part) - 1).join(
-        F.broadcast(parts.drop("__pack_n")), [length, "__pack_part"])
+        checked_broadcast(parts.drop("__pack_n")), [length, "__pack_part"])
     ranked = ranked.withColumn("__pack_rank", F.col("__pack_before") + F.col("__pack_nth"))
     ranked = ranked.select(*items.columns, "__pack_rank")
 
