@@ -10,7 +10,7 @@ from conftest import SF_MID
 from pyspark.sql import functions as F
 from tables import awkward, prose, some_labels, write
 
-from shopsignal.llm import bpe, common, fingerprints, quality_rules, rans, sharding, simhash, token_files, tokens
+from shopsignal.llm import bpe, common, fingerprints, packing, quality_rules, rans, sharding, simhash, token_files, tokens
 from shopsignal.llm.queries import QUERIES
 
 CLASH = {"score": 3, "kept": "x", "n_words": 5, "fp": 7, "shard": "s", "length": 2, "label": 9, "TOXIC": 1}
@@ -187,6 +187,36 @@ def test_one_row_many_times_spreads_over_shards(spark):
     assert versions == {0, 1} and stored.count() == 2 * 1024
 
 
+def test_a_stored_map_is_edited_in_later_runs(spark):
+    """A second run goes on from the stored version and moves only slots whose shard the new version changes."""
+    first = spark.createDataFrame([(i, "x" * (i % 90)) for i in range(4000)], "doc_id long, text string")
+    placed, stored = sharding.shard(first, 8, n_slots=1024)
+    again, unchanged = sharding.shard(first, 8, n_slots=1024, stored=stored)
+    maps = {v: dict(unchanged.filter(F.col("version") == v).select("virtual_slot", "shard").collect()) for v in (0, 1, 2)}
+    assert maps[1] == maps[2] != maps[0] and unchanged.count() == 3 * 1024
+    assert sorted(map(repr, again.drop("map_version").collect())) == sorted(map(repr, placed.drop("map_version").collect()))
+    grown = first.unionByName(spark.createDataFrame([(5000 + i, "y" * 200) for i in range(900)], "doc_id long, text string"))
+    for n_shards in (8, 9, 7):
+        moved, stored_now = sharding.shard(grown, n_shards, n_slots=1024, stored=unchanged)
+        assert stored_now.select("version").distinct().count() == 4
+        assert sorted(map(repr, stored_now.filter("version < 3").collect())) == sorted(map(repr, unchanged.collect()))
+        new = dict(stored_now.filter("version = 3").select("virtual_slot", "shard").collect())
+        loads = [r["b"] for r in moved.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+        assert len(loads) == n_shards and max(loads) < 1.02 * min(loads)
+        was, now = ({(r["doc_id"], r["virtual_slot"]): r["shard"] for r in x.collect()} for x in (again, moved))
+        assert all(now[k] == was[k] for k in was if new[k[1]] == maps[2][k[1]])
+        assert sum(new[s] != maps[2][s] for s in new) < 0.3 * 1024
+    with pytest.raises(ValueError):
+        sharding.shard(first, 8, n_slots=2048, stored=stored)
+
+
+def test_copies_are_numbered_in_bounded_runs(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES_A_RUN", 7)
+    docs = spark.createDataFrame([(1, "same")] * 50 + [(2, "two")] * 7 + [(3, None)], "doc_id long, text string")
+    got = sharding.records(docs, 64).collect()
+    assert sorted((r["doc_id"], r["copy"]) for r in got) == [(1, i) for i in range(50)] + [(2, i) for i in range(7)] + [(3, 0)]
+
+
 def test_rebalancing_moves_few_slots():
     rng = random.Random(2)
     sizes = [rng.randint(900, 1100) for _ in range(4096)]
@@ -256,3 +286,24 @@ def test_keep_one_moves_no_text(spark, tmp_path):
     held = lambda df: sorted(map(repr, df.collect()))
     kept = held(one)
     assert held(simhash.keep_one(docs.orderBy("doc_id"))) == kept and 0 < len(kept) < docs.count() / 2
+
+
+def test_a_hot_length_is_numbered_in_parts(spark, monkeypatch):
+    """Nearly all pieces of one length: parts of bounded size, and every piece has its own gapless place."""
+    monkeypatch.setattr(packing, "RANK_ROWS", 50)
+    items = spark.createDataFrame([(i, 2048 if i % 3 else i % 7 + 1) for i in range(3000)], "item long, length long")
+    tables = []
+    monkeypatch.setattr(packing, "written", lambda df, name: tables.append((name, common.written(df, name))) or tables[-1][1])
+    got = packing.pack(items).collect()
+    parts = dict(tables)["length_counts"].collect()
+    assert max(r["__pack_n"] for r in parts) < 3 * 50 and sum(r["__pack_n"] for r in parts) == 3000
+    held = {}
+    for r in got:
+        held.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for places in held.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(got) == 3000 and len(held) == 2000 + 2  # 4,000 tokens of short ones
