@@ -77,10 +77,11 @@ def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text
     ``key`` and ``tie`` are long columns.  ``n`` cut points of the key come
     from one aggregate of that column, so about ``n`` buckets hold near equal
     rows.  Rows equal to a cut point have a bucket of their own, cut
-    again by the top six bits of ``tie``, so a key that many rows share (or a
-    null one) spreads too.
+    again by the top bits of ``tie`` (six, and more for many cut points), so a
+    key that many rows share (or a null one) spreads too.  Rows equal in both stay together.
     """
-    cuts = docs.agg(F.percentile_approx(key, [(i + 1) / (n + 1) for i in range(n)], 10_000).alias("c")).first()["c"]
+    accuracy, bits = max(10_000, 10 * n), max(6, n.bit_length() - 2)
+    cuts = docs.agg(F.percentile_approx(key, [(i + 1) / (n + 1) for i in range(n)], accuracy).alias("c")).first()["c"]
     cuts = sorted(set(cuts or []))
     k = F.col(key)
     if cuts:
@@ -92,7 +93,7 @@ def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text
     else:
         r = F.when(k.isNull(), 1).otherwise(0)
     # Shifted, the signed hash keeps its order.
-    sub = F.when(r % 2 == 1, F.shiftright(F.col(tie), 58) + 32).otherwise(0)
+    sub = F.when(r % 2 == 1, F.shiftright(F.col(tie), 64 - bits) + (1 << (bits - 1))).otherwise(0)
     return r.cast("int"), sub.cast("int")
 
 

@@ -1,12 +1,14 @@
 """Token-ID files: whole texts as ids in ascending doc_id order, coded by ``rans`` in sections.
 
-The files are Parquet tables (so any store Spark writes to will do) with one
-row a section: the documents' ids and lengths, one frequency table, and the
+A folder holds two Parquet tables (so any store Spark writes to will do):
+``sections``, whose files in the order of their names hold all ids in order,
+and ``manifest``, which says of each section how many ids of the whole come
+before it.  ``sections`` has one row a section: the documents' ids and lengths, one frequency table, and the
 blocks with their checkpoints and checksums.  A section holds about
 ``SECTION`` ids, so a task's memory does not grow with the data (one document
 is never cut between sections).  Sections are numbered through their bucket;
 buckets are contiguous stretches of the doc_id order, so no step sorts or
-gathers the whole corpus.
+gathers the whole corpus.  Neighbouring buckets go to a task, as many as make up an equal share of the bytes.
 
 Defined cases: a null text is an empty one; a document always has its end id.
 Rows with one doc_id follow each other by text hash, null doc_ids come last,
@@ -23,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import rans
-from .common import order_buckets, text_or_empty, written
+from .common import order_buckets, text_or_empty
 from .tokens import encoder, in_chunks, vocabulary
 
 SECTION = 1 << 21
@@ -106,35 +109,57 @@ def _from_sections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 names=["r", "sub", "doc_id", "start", "ids"])
 
 
-def write_files(docs: DataFrame, tokenizer_path: str, end_id: int | None, section: int = SECTION) -> DataFrame:
-    """Encode ``docs`` (doc_id, text) and write the files; returns the table of their sections."""
+def _tasks(buckets: list, n: int) -> list[tuple[int, int, int]]:
+    """``(r, sub, task)`` of ordered ``(r, sub, bytes)`` buckets: contiguous, and near equal shares of the bytes."""
+    total, before, out = sum(b["bytes"] for b in buckets) or 1, 0, []
+    for b in buckets:
+        out.append((b["r"], b["sub"], min(n - 1, (before + b["bytes"] // 2) * n // total)))
+        before += b["bytes"]
+    return out
+
+
+def write_files(docs: DataFrame, tokenizer_path: str, end_id: int | None, section: int = SECTION, path: str | None = None) -> str:
+    """Encode ``docs`` (doc_id, text) and write the files; returns their folder (``path``, or one of its own)."""
     spark = docs.sparkSession
+    path = (path or scratch_path(spark, "token_files")).rstrip("/")
     docs = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     r, sub = order_buckets(docs, 3 * n)  # several buckets a task even out
     docs = docs.select("doc_id", "text_hash", r.alias("r"), sub.alias("sub"), "text")
+    # A few rows for each shuffle partition, whatever the table holds.
+    buckets = docs.groupBy("r", "sub").agg(F.sum(F.octet_length("text") + 1).alias("bytes")).orderBy("r", "sub").collect()
+    tasks = spark.createDataFrame(_tasks(buckets, n), "r int, sub int, task int")
     dtype = encoder(tokenizer_path).dtype.str
     ids = docs.mapInArrow(_tokenise(tokenizer_path), "doc_id bigint, text_hash bigint, r int, sub int, ids binary")
-    ordered = ids.repartition(n, "r", "sub").sortWithinPartitions("r", "sub", "doc_id", "text_hash")
+    dealt = ids.join(F.broadcast(tasks), ["r", "sub"]).repartitionById(n, F.col("task"))
+    ordered = dealt.sortWithinPartitions("r", "sub", "doc_id", "text_hash")
     sections = ordered.select("r", "sub", "doc_id", "ids").mapInArrow(_to_sections(dtype, end_id, section), SECTIONS)
-    return written(sections, "token_files")
+    sections.write.parquet(f"{path}/sections")
+    found = spark.read.parquet(f"{path}/sections").select("r", "sub", "first", "n_tokens")
+    totals = found.groupBy("r", "sub").agg(F.sum("n_tokens").alias("n"))
+    order = Window.orderBy("r", "sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # over the few buckets
+    begins = totals.select("r", "sub", (F.sum("n").over(order) - F.col("n")).alias("bucket_start"))
+    manifest = found.join(F.broadcast(begins), ["r", "sub"]).select(
+        "r", "sub", "first", "n_tokens", (F.col("bucket_start") + F.col("first")).alias("start"))
+    manifest.write.parquet(f"{path}/manifest")
+    return path
 
 
-def read_files(sections: DataFrame) -> DataFrame:
+def read_files(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, ids)`` from the files: ``ids`` little-endian 32-bit, ``start`` over all documents."""
-    totals = sections.groupBy("r", "sub").agg(F.sum("n_tokens").alias("n"))
-    order = Window.orderBy("r", "sub").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    begins = totals.select("r", "sub", (F.sum("n").over(order) - F.col("n")).alias("bucket_start"))
+    sections = spark.read.schema(SECTIONS).parquet(f"{path}/sections")
+    manifest = spark.read.parquet(f"{path}/manifest")
     decoded = sections.mapInArrow(_from_sections, "r int, sub int, doc_id bigint, start bigint, ids binary")
     # One row a bucket: a fixed multiple of the number of shuffle partitions.
+    begins = manifest.filter("first = 0").select("r", "sub", F.col("start").alias("bucket_start"))
     return decoded.join(F.broadcast(begins), ["r", "sub"]).select(
         "doc_id", (F.col("bucket_start") + F.col("start")).alias("start"), "ids")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    ids = read_files(write_files(docs, vocabulary("word_bpe_49k.json"), end_id=2))
+    ids = read_files(spark, write_files(docs, vocabulary("word_bpe_49k.json"), end_id=2))
     return ids.select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"))

@@ -79,7 +79,7 @@ def test_sections_of_one_document_and_of_many(spark):
     rng = random.Random(5)
     docs = spark.createDataFrame([(i, prose(rng, rng.randint(0, 300))) for i in range(200)], "doc_id long, text string")
     path = tokens.vocabulary("word_bpe_49k.json")
-    read = lambda section: sorted(map(tuple, token_files.read_files(token_files.write_files(docs, path, 2, section)).collect()))
+    read = lambda section: sorted(map(tuple, token_files.read_files(spark, token_files.write_files(docs, path, 2, section)).collect()))
     assert read(1) == read(1000) == read(1 << 21)
 
 
@@ -307,3 +307,37 @@ def test_a_hot_length_is_numbered_in_parts(spark, monkeypatch):
             at += length
         assert at <= 2048
     assert len(got) == 3000 and len(held) == 2000 + 2  # 4,000 tokens of short ones
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_token_files_hold_the_ids_in_order(spark, tmp_path, hot):
+    """Read file by file, in the order of their names, without Spark: ascending doc_ids, and the manifest's starts."""
+    rng = random.Random(8)
+    docs = [(i * 5 % 997, prose(rng, rng.randint(0, 60))) for i in range(997)] + [(None, "none"), (4, None)]
+    if hot:
+        docs += [(300, prose(rng, 5)) for _ in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    folder = token_files.write_files(df, tokens.vocabulary("word_bpe_49k.json"), 2, section=500, path=str(tmp_path / "files"))
+    manifest = {(r["r"], r["sub"], r["first"]): r for r in pq.read_table(f"{folder}/manifest").to_pylist()}
+    parts = sorted((tmp_path / "files" / "sections").glob("part-*.parquet"))
+    assert len(parts) >= 4
+    at, ids, lengths = 0, [], []
+    for part in parts:
+        for row in pq.read_table(part).to_pylist():
+            entry = manifest.pop((row["r"], row["sub"], row["first"]))
+            assert (entry["start"], entry["n_tokens"]) == (at, row["n_tokens"])
+            blocks = [rans.Block(**b) for b in row["blocks"]]
+            decoded = rans.decode(np.frombuffer(row["symbols"], "<u4"), np.frombuffer(row["freqs"], "<u4"), blocks)
+            assert len(decoded) == row["n_tokens"] == sum(row["lengths"])
+            at += row["n_tokens"]
+            ids += row["doc_ids"]
+            lengths += row["lengths"]
+    assert not manifest
+    key = lambda i: (i is None, i or 0)
+    assert ids == sorted((i for i, _ in docs), key=key)
+    read = {}
+    for r in token_files.read_files(spark, folder).collect():
+        read.setdefault(r["doc_id"], []).append((r["start"], len(r["ids"]) // 4))
+    begins = np.cumsum(lengths) - lengths
+    for i, b, n in zip(ids, begins.tolist(), lengths):
+        assert (b, n) in read[i]

@@ -1,12 +1,21 @@
 """The pipeline, stage by stage, against what each operator decides on its own; awkward and empty tables."""
 
 import collections
+import math
+import zlib
 
 import corpus_pipeline
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+import zstandard
 from tables import awkward, some_labels, write
 from test_edges import CLASH
-from test_operators import fingerprint
+from test_operators import best_fit, fingerprint
+from tokenizers import Tokenizer
 
 from shopsignal.llm import quality_classifier, quality_rules
 
@@ -78,6 +87,67 @@ def test_run_equals_its_stages(spark, folder):
     assert pieces(corpus_pipeline.run(spark, folder)) == pieces(docs) and docs.count()
 
 
+def test_run_against_plain_versions(spark, folder):
+    """The rules by their SQL, the classifier by fresh compressors, near-duplicates pair by pair, lengths by the tokenizers library."""
+    docs = [dict(r, row=i) for i, r in enumerate(pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).to_pylist())]
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([{"doc_id": d["row"], "text": d["text"]} for d in docs],
+                                                   pa.schema([("doc_id", pa.int64()), ("text", pa.string())])))
+    good = {row for row, kept in con.execute(f"select doc_id, kept from ({quality_rules.ORACLE})").fetchall() if kept}
+    docs = [d for d in docs if d["row"] in good]
+
+    model = quality_classifier.train(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+    held = [zstandard.ZstdCompressionDict(x) if x else None for x in (model.good, model.bad)]
+
+    def size(raw, k):
+        c = zstandard.ZstdCompressor(level=3, dict_data=held[k], write_content_size=False, write_dict_id=False, write_checksum=False)
+        return sum(len(c.compress(raw[i:i + 512])) for i in range(0, len(raw), 512))
+
+    def is_good(text):
+        raw = text.encode()
+        a, b = size(raw, 0), size(raw, 1)
+        f = np.array([(b - a) / len(raw), a / len(raw)])
+        c = model.calibrator
+        return 1 / (1 + math.exp(-(c.coefficients[0] + ((f - c.centre) / c.scale) @ c.coefficients[1:]))) >= 0.5
+
+    docs = [d for d in docs if is_good(d["text"])]
+    group, prints = list(range(len(docs))), [fingerprint(d["text"]) for d in docs]
+    for i in range(len(docs)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= 3 and group[i] != group[j]:
+                a, b = group[i], group[j]
+                group = [b if g == a else g for g in group]
+    best = {}
+    for g, d in zip(group, docs):
+        key = (d["doc_id"] is None, d["doc_id"] or 0)
+        best.setdefault(g, []).append((key, d["text"]))
+    classes = [[t for key, t in members if key == min(k for k, _ in members)] for members in best.values()]
+    keys = [min(k for k, _ in members) for members in best.values()]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+    def pieces(text):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        cuts = [0, *range(len(ids) % 2048 or 2048, len(ids), 2048), len(ids)]
+        return [(k, x, y - x, zlib.crc32(ids[x:y].tobytes())) for k, (x, y) in enumerate(zip(cuts, cuts[1:]))]
+
+    got = corpus_pipeline.run(spark, folder).collect()
+    by_doc = collections.defaultdict(list)
+    for r in got:
+        by_doc[(r["doc_id"] is None, r["doc_id"] or 0)].append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    want = collections.defaultdict(list)
+    for key, texts in zip(keys, classes):  # rows that share the least doc_id: any of them
+        options = [pieces(t) for t in set(texts)]
+        chosen = [o for o in options if not collections.Counter(o) - collections.Counter(by_doc[key])]
+        want[key] += (chosen or options)[0]
+    assert len(docs) > 10 and len(classes) < len(docs)
+    assert {k: sorted(v) for k, v in by_doc.items() if v} == {k: sorted(v) for k, v in want.items()}
+    sequences = collections.defaultdict(list)
+    for r in got:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    assert all(sum(n for _, n in x) <= 2048 and sorted(x)[0][0] == 0 for x in sequences.values())
+    assert len(sequences) == len(best_fit([r["length"] for r in got], 2048))
+
+
 def test_empty_and_null_tables(spark, tmp_path):
     empty = write(tmp_path / "empty", [], [])
     assert corpus_pipeline.run(spark, empty).count() == 0
