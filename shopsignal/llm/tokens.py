@@ -7,7 +7,9 @@ often; each worker encodes a unit when it first meets it and keeps the ids in a
 bounded cache.  Most units are a word of Latin-1 letters, perhaps with marks
 behind it: for the two known kinds of vocabulary the word goes straight to the
 library's model, as one pre-token.  All others go through the whole library.
-A text that contains the string of a special token is encoded whole.
+A text that contains the string of a special token is encoded whole, and so is
+every text where a vocabulary file's normaliser and pre-tokeniser are not, to
+the last setting, those of one of the two known kinds.
 """
 
 from __future__ import annotations
@@ -29,8 +31,17 @@ _CONTROLS = re.compile("[\x1c-\x1f]")
 _LATIN_1 = "\u0100"  # the first character beyond it
 # Marks that form one pre-token behind a word: not the apostrophe, which may begin a contraction.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-# The normalisers under which a word of Latin-1 letters is just itself, or itself in lower case.
-_LOWER_CASE = ["NFC", "Replace", "Lowercase"]
+# The normalisers and pre-tokenisers under which a word of Latin-1 letters is itself in lower case (white
+# space dropped), or just itself (with the space before it).
+_LOWERED = (
+    {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+)
+_SPACED = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
 
 
 def byte_alphabet() -> list[str]:
@@ -58,12 +69,8 @@ class UnitEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        normalizer, splitter = spec["normalizer"], spec["pre_tokenizer"] or {}
-        kinds = [n["type"] for n in (normalizer or {}).get("normalizers", [normalizer] if normalizer else [])]
-        byte_level = [x["type"] for x in splitter.get("pretokenizers", [splitter])][-1:] == ["ByteLevel"]
-        # Words in lower case, white space dropped; or words as they are, each with the space before it.
-        self.lowers = byte_level and kinds == _LOWER_CASE
-        self.keeps_space = byte_level and not kinds and splitter.get("use_regex", False) and not splitter["add_prefix_space"]
+        kind = (spec["normalizer"], spec["pre_tokenizer"])
+        self.lowers, self.keeps_space = kind == _LOWERED, kind == _SPACED
         self.letters = dict(enumerate(byte_alphabet()))
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.id_bytes = [i.to_bytes(self.dtype.itemsize, "little") for i in range(self.tokenizer.get_vocab_size())]
@@ -74,7 +81,7 @@ class UnitEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _text(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if not (self.lowers or self.keeps_space) or any(s in text for s in self.special):
             return self.whole(text)
         if self.lowers and not _CONTROLS.search(text):  # white space is dropped: words alone are units
             return b"".join(map(self.plain.__getitem__, text.split()))
@@ -99,7 +106,7 @@ class _Units(dict):
 
     def __init__(self, encoder: UnitEncoder, space: str, max_units: int):
         self.whole, self.space, self.max_units = encoder.whole, space, max_units
-        self.direct, self.lowers = encoder.lowers or encoder.keeps_space, encoder.lowers
+        self.lowers = encoder.lowers
         self.model, self.id_bytes, self.letters = encoder.tokenizer.model.tokenize, encoder.id_bytes, encoder.letters
         self.before = self.letters[ord(" ")] if space and encoder.keeps_space else ""
         self.older: dict[str, bytes] = {}
@@ -118,8 +125,6 @@ class _Units(dict):
         return ids
 
     def _encode(self, unit: str) -> bytes:
-        if not self.direct:
-            return self.whole(self.space + unit)
         if not unit.isalpha():
             word = unit.rstrip(_MARKS)
             if not word.isalpha():

@@ -1,5 +1,6 @@
 """Empty tables, clashing column names, missing labels, held-out accuracy, codec round trips."""
 
+import json
 import random
 import zlib
 
@@ -341,3 +342,24 @@ def test_token_files_hold_the_ids_in_order(spark, tmp_path, hot):
     begins = np.cumsum(lengths) - lengths
     for i, b, n in zip(ids, begins.tolist(), lengths):
         assert (b, n) in read[i]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_vocabulary_of_another_kind_is_encoded_whole(name, tmp_path):
+    """One setting changed: the short way is not taken, and the ids are still the library's."""
+    from tokenizers import Tokenizer
+
+    spec = json.loads(open(tokens.vocabulary(name), encoding="utf-8").read())
+    known = tokens.UnitEncoder(tokens.vocabulary(name))
+    assert known.lowers != known.keeps_space
+    if spec["normalizer"]:
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"] = {"Regex": r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"}
+    else:
+        spec["normalizer"] = {"type": "Replace", "pattern": {"String": "a"}, "content": "b"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    other, library = tokens.UnitEncoder(str(path)), Tokenizer.from_file(str(path))
+    assert not other.lowers and not other.keeps_space
+    for text in ("A banana, at 42nd street!\n", "It's x1y2", "", "  a  a "):
+        want = np.array(library.encode(text, add_special_tokens=False).ids, other.dtype).tobytes()
+        assert other.encode([text]) == [want]
