@@ -78,7 +78,7 @@ def profiles_hash_join_shape(logs):
     recs = recommend.recommendations_from_pairs(basket.market_basket_pairs(logs), logs)
     ranked = affinity.ranked_categories(affinity.affinity_scores(logs))
     first = ranked.withColumn("primary_category", F.get("top_categories", 0).getField("category"))
-    return first.join(recs.hint("merge"), first["primary_category"] == recs["item_category"], "left")
+    return first.join(recs, first["primary_category"] == recs["item_category"], "left")
 
 
 def main() -> None:

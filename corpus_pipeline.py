@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shopsignal.llm import packing, quality_classifier, quality_rules, simhash
 from shopsignal.llm.common import ship_package, written
 from shopsignal.llm.tokens import vocabulary
+from shopsignal.session import delete_scratch, scratch_scope
 
 END_ID = 0  # appended to every document that is packed
 
@@ -58,8 +59,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over ``documents``; each result is written and read again as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in order over ``documents``; each result is written and read again as the next one's input.
+
+    Once a stage's result is written, what it read and its own intermediate
+    tables are deleted, so at most two copies of the corpus exist at a time.
+    """
+    ship_package(spark)
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        with scratch_scope() as drawn:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        delete_scratch(spark, [*before, *drawn[:-1]])
+        before = drawn[-1:]
     return docs

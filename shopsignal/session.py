@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,16 +68,46 @@ def _scratch_root(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/shopsignal-scratch/{spark.sparkContext.applicationId}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """The scratch paths drawn inside, in order, so that a job can delete its own when their results are written elsewhere."""
+    drawn: list[str] = []
+    _SCOPES.append(drawn)
+    try:
+        yield drawn
+    finally:
+        _SCOPES[:] = [s for s in _SCOPES if s is not drawn]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder.
 
     What is written there backs lazy results, so it has to stay until they are
-    used: ``remove_scratch`` deletes all of an application's scratch data.
+    used: ``delete_scratch`` deletes single paths, ``remove_scratch`` all of an application's scratch data.
     """
-    return f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+    path = f"{_scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+    for drawn in _SCOPES:
+        drawn.append(path)
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def delete_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch paths of this application (each in the folder of its own that ``scratch_path`` gave it)."""
+    root = _scratch_root(spark)
+    for path in paths:
+        if not path.startswith(f"{root}/"):
+            raise ValueError(f"{path} is not scratch data of this application")
+        _delete(spark, path.rsplit("/", 1)[0])
 
 
 def remove_scratch(spark: SparkSession) -> None:
     """Delete this application's scratch data; results not yet written elsewhere are lost with it."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _scratch_root(spark))
