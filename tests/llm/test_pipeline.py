@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import zlib
 
 import corpus_pipeline
@@ -18,6 +19,7 @@ from test_operators import best_fit, fingerprint
 from tokenizers import Tokenizer
 
 from shopsignal.llm import quality_classifier, quality_rules
+from shopsignal.session import scratch_scope
 
 STAGES = dict(corpus_pipeline.STAGES)
 
@@ -87,6 +89,13 @@ def test_run_equals_its_stages(spark, folder):
     assert pieces(corpus_pipeline.run(spark, folder)) == pieces(docs) and docs.count()
 
 
+def test_run_leaves_only_its_result_behind(spark, folder):
+    with scratch_scope() as drawn:
+        result = corpus_pipeline.run(spark, folder)
+    left = [p for p in drawn if os.path.exists(p.removeprefix("file:")) and not p.endswith(".zip")]
+    assert len(drawn) > 10 and len(left) == 1 and left[0].endswith("pipeline_best_fit_packing") and result.count()
+
+
 def test_run_against_plain_versions(spark, folder):
     """The rules by their SQL, the classifier by fresh compressors, near-duplicates pair by pair, lengths by the tokenizers library."""
     docs = [dict(r, row=i) for i, r in enumerate(pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).to_pylist())]
