@@ -6,6 +6,7 @@ import io
 import zipfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,19 +72,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text_hash") -> tuple[Column, Column]:
-    """Columns ``(r, sub)`` that cut the ascending order (``key`` nulls last, ``tie``) into contiguous buckets.
+def identified(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` as rows of files, which have a place that every read of them gives again (written first if they are none)."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+        return docs
+    except AnalysisException:
+        return written(docs, name)
+
+
+def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text_hash") -> DataFrame:
+    """``docs`` with columns ``(r, sub)`` that cut its ascending order (``key`` nulls last, ``tie``) into contiguous buckets.
 
     ``key`` and ``tie`` are long columns.  ``n`` cut points of the key come
     from one aggregate of that column, so about ``n`` buckets hold near equal
-    rows.  Rows equal to a cut point have a bucket of their own, cut
-    again by the top bits of ``tie`` (six, and more for many cut points), so a
-    key that many rows share (or a null one) spreads too.  Rows equal in both stay together.
+    rows.  Rows equal to a cut point have a bucket of their own, cut again by
+    the top bits of ``tie`` (six, and more for many cut points), so a key that
+    many rows share (or a null one) spreads too.  Where rows equal in key *and*
+    tie are more than a bucket's share (at most ``n`` such pairs), those are
+    dealt over as many buckets by their place in the files; the order among
+    them is that of the buckets.  Only a key with more rows than that makes
+    the search for such pairs read the table again.
     """
     accuracy, bits = max(10_000, 10 * n), max(6, n.bit_length() - 2)
     cuts = docs.agg(F.percentile_approx(key, [(i + 1) / (n + 1) for i in range(n)], accuracy).alias("c")).first()["c"]
     cuts = sorted(set(cuts or []))
-    k = F.col(key)
+    k, t = F.col(key), F.col(tie)
     if cuts:
         # How many cut points lie below the key, by binary search.
         points = F.lit(cuts).cast("array<bigint>")
@@ -92,9 +106,33 @@ def order_buckets(docs: DataFrame, n: int, key: str = "doc_id", tie: str = "text
         r = F.when(k.isNull(), 2 * len(cuts) + 1).otherwise(2 * below + F.when(k.isin(cuts), 1).otherwise(0))
     else:
         r = F.when(k.isNull(), 1).otherwise(0)
+    r = r.cast("int")
     # Shifted, the signed hash keeps its order.
-    sub = F.when(r % 2 == 1, F.shiftright(F.col(tie), 64 - bits) + (1 << (bits - 1))).otherwise(0)
-    return r.cast("int"), sub.cast("int")
+    top_bits = lambda h: F.shiftright(h, 64 - bits) + (1 << (bits - 1))
+    sub = F.when(r % 2 == 1, top_bits(t)).otherwise(0)
+    if hot := _hot_pairs(docs.select(r.alias("r"), t.alias("t")), n):
+        docs = identified(docs, "order_rows")
+        place = docs.metadataColumn("_metadata")
+        ties = F.coalesce(*[F.when(r == i, F.lit(sorted(h)).cast("array<bigint>")) for i, h in hot.items()],
+                          F.array().cast("array<bigint>"))
+        # Twice the pairs before this row's, and one for a row of such a pair: ascending as the tie is.
+        level = F.aggregate(ties, F.lit(0), lambda n, h: n + F.when(h < t, 2).when(h == t, 1).otherwise(0)).cast("long")
+        dealt = top_bits(F.xxhash64(place["file_path"], place["row_index"]))
+        sub = F.shiftleft(level, bits) + F.when(level % 2 == 1, dealt).otherwise(sub)
+    return docs.withColumns({"r": r, "sub": sub.cast("long")})
+
+
+def _hot_pairs(docs: DataFrame, n: int) -> dict[int, list[int]]:
+    """``{r: ties}`` of the pairs ``(r, t)``, r odd (one key), that more than an ``n``-th of all rows share."""
+    rows = {x["r"]: x["count"] for x in docs.groupBy("r").count().collect()}  # at most two a cut point
+    share = sum(rows.values()) / n
+    heavy = [r for r, count in rows.items() if r % 2 == 1 and count > share]
+    found: dict[int, list[int]] = {}
+    if heavy:
+        pairs = docs.filter(F.col("r").isin(heavy)).groupBy("r", "t").count().filter(F.col("count") > share)
+        for x in pairs.collect():  # fewer than n
+            found.setdefault(x["r"], []).append(x["t"])
+    return found
 
 
 _SHIPPED: set[str] = set()

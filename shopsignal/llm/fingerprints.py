@@ -87,8 +87,7 @@ def with_next_text(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r, sub = order_buckets(docs, 3 * n)  # several buckets a task even out
-    docs = docs.withColumns({"r": r, "sub": sub})
+    docs = order_buckets(docs, 3 * n)  # several buckets a task even out
     # Of each bucket the first row's key: at most a few rows per cut point.
     firsts = docs.groupBy("r", "sub").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
     order = Window.orderBy("r", "sub")
@@ -97,8 +96,9 @@ def with_next_text(docs: DataFrame) -> DataFrame:
         "r", "sub", F.coalesce(F.lead("f").over(order), F.first("f").over(overall)).alias("f")
     )
     # Rows with equal (doc_id, hash) have equal texts; one of them stands for the bucket's successor.
+    keys = firsts.select(F.col("f.doc_id").alias("fd"), F.col("f.text_hash").alias("fh")).distinct()
     texts = (
-        docs.join(F.broadcast(firsts.select(F.col("f.doc_id").alias("fd"), F.col("f.text_hash").alias("fh"))),
+        docs.join(F.broadcast(keys),
                   F.col("doc_id").eqNullSafe(F.col("fd")) & (F.col("text_hash") == F.col("fh")))
         .groupBy("fd", "fh").agg(F.min("text").alias("text"))
     )

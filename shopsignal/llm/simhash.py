@@ -30,12 +30,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.joins import checked_broadcast, key_bucket
-from .common import text_or_empty, written
+from .common import identified, text_or_empty, written
 
 SHINGLE = 3
 RADIUS = 3
@@ -272,15 +271,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    """``docs`` as rows of files, which have a place that every read of them gives again (written first if they are none)."""
-    try:
-        docs.select(docs.metadataColumn("_metadata")["row_index"])
-        return docs
-    except AnalysisException:
-        return written(docs, "simhash_rows")
-
-
 def keep_one(docs: DataFrame, text: str = "text", order: str = "doc_id", shingle: int = SHINGLE,
              radius: int = RADIUS) -> DataFrame:
     """One row of every class: the smallest ``order`` value (nulls last; ties: the first by file and row), all its columns.
@@ -289,7 +279,7 @@ def keep_one(docs: DataFrame, text: str = "text", order: str = "doc_id", shingle
     go are few numbers each; while they measure within the broadcast bounds,
     the texts are read once more and never shuffled.
     """
-    docs = _identified(docs)
+    docs = identified(docs, "simhash_rows")
     place = docs.metadataColumn("_metadata")
     file, row = F.xxhash64(place["file_path"]), place["row_index"]
     narrow = written(

@@ -32,12 +32,12 @@ from .tokens import encoder, in_chunks, vocabulary
 
 SECTION = 1 << 21
 SECTIONS = (
-    "r int, sub int, first bigint, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>, "
+    "r int, sub bigint, first bigint, n_tokens bigint, doc_ids array<bigint>, lengths array<bigint>, "
     "symbols binary, freqs binary, "
     "blocks array<struct<n:int,words:binary,states:binary,places:binary,crc32:bigint>>"
 )
 _SECTIONS = pa.schema([
-    ("r", pa.int32()), ("sub", pa.int32()), ("first", pa.int64()), ("n_tokens", pa.int64()),
+    ("r", pa.int32()), ("sub", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64()),
     ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())),
     ("symbols", pa.binary()), ("freqs", pa.binary()),
     ("blocks", pa.list_(pa.struct([("n", pa.int32()), ("words", pa.binary()), ("states", pa.binary()),
@@ -103,7 +103,7 @@ def _from_sections(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             raw = ids.astype("<u4").tobytes()
             n = len(lengths)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([row["r"]] * n, pa.int32()), pa.array([row["sub"]] * n, pa.int32()),
+                [pa.array([row["r"]] * n, pa.int32()), pa.array([row["sub"]] * n, pa.int64()),
                  pa.array(row["doc_ids"], pa.int64()), pa.array(begins + row["first"], pa.int64()),
                  pa.array([raw[4 * b:4 * (b + k)] for b, k in zip(begins.tolist(), lengths.tolist())], pa.binary())],
                 names=["r", "sub", "doc_id", "start", "ids"])
@@ -125,13 +125,12 @@ def write_files(docs: DataFrame, tokenizer_path: str, end_id: int | None, sectio
     docs = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r, sub = order_buckets(docs, 3 * n)  # several buckets a task even out
-    docs = docs.select("doc_id", "text_hash", r.alias("r"), sub.alias("sub"), "text")
+    docs = order_buckets(docs, 3 * n).select("doc_id", "text_hash", "r", "sub", "text")  # several buckets a task even out
     # A few rows for each shuffle partition, whatever the table holds.
     buckets = docs.groupBy("r", "sub").agg(F.sum(F.octet_length("text") + 1).alias("bytes")).orderBy("r", "sub").collect()
-    tasks = spark.createDataFrame(_tasks(buckets, n), "r int, sub int, task int")
+    tasks = spark.createDataFrame(_tasks(buckets, n), "r int, sub bigint, task int")
     dtype = encoder(tokenizer_path).dtype.str
-    ids = docs.mapInArrow(_tokenise(tokenizer_path), "doc_id bigint, text_hash bigint, r int, sub int, ids binary")
+    ids = docs.mapInArrow(_tokenise(tokenizer_path), "doc_id bigint, text_hash bigint, r int, sub bigint, ids binary")
     dealt = ids.join(F.broadcast(tasks), ["r", "sub"]).repartitionById(n, F.col("task"))
     ordered = dealt.sortWithinPartitions("r", "sub", "doc_id", "text_hash")
     sections = ordered.select("r", "sub", "doc_id", "ids").mapInArrow(_to_sections(dtype, end_id, section), SECTIONS)
@@ -150,7 +149,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, ids)`` from the files: ``ids`` little-endian 32-bit, ``start`` over all documents."""
     sections = spark.read.schema(SECTIONS).parquet(f"{path}/sections")
     manifest = spark.read.parquet(f"{path}/manifest")
-    decoded = sections.mapInArrow(_from_sections, "r int, sub int, doc_id bigint, start bigint, ids binary")
+    decoded = sections.mapInArrow(_from_sections, "r int, sub bigint, doc_id bigint, start bigint, ids binary")
     # One row a bucket: a fixed multiple of the number of shuffle partitions.
     begins = manifest.filter("first = 0").select("r", "sub", F.col("start").alias("bucket_start"))
     return decoded.join(F.broadcast(begins), ["r", "sub"]).select(

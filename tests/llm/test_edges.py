@@ -363,3 +363,44 @@ def test_a_vocabulary_of_another_kind_is_encoded_whole(name, tmp_path):
     for text in ("A banana, at 42nd street!\n", "It's x1y2", "", "  a  a "):
         want = np.array(library.encode(text, add_special_tokens=False).ids, other.dtype).tobytes()
         assert other.encode([text]) == [want]
+
+
+def test_a_row_repeated_very_often_is_dealt_over_buckets(spark, tmp_path):
+    """A third of all rows equal, and as many under one id: no bucket holds many, and both queries keep the whole order."""
+    rng = random.Random(12)
+    docs = [(i * 3 + 1, prose(rng, rng.randint(0, 9))) for i in range(900)]
+    same = [(400, "the same row"), (None, "no id"), (400, "another row of that id")]
+    docs += [same[0]] * 900 + [same[1]] * 400 + [same[2]] * 300 + [(400, prose(rng, 6)) for _ in range(200)]
+    docs += [(None, prose(rng, 6)) for _ in range(60)]
+    rng.shuffle(docs)
+    docs = [{"doc_id": i, "text": t, "lang": "en", "source": "s", "n_chars": len(t)} for i, t in docs]
+    folder = write(tmp_path / "hot", docs, [])
+    df = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    cut = common.order_buckets(df, 24)
+    held = cut.groupBy("r", "sub").count().orderBy("r", "sub").collect()
+    assert sum(r["count"] for r in held) == len(docs) and max(r["count"] for r in held) < len(docs) / 24
+    rows = sorted(((r["r"], r["sub"], r["doc_id"], r["text_hash"]) for r in cut.collect()),
+                  key=lambda r: (*r[:2], r[2] is None, r[2] or 0, r[3]))
+    assert [r[2:] for r in rows] == sorted((r[2:] for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+    hashes = {t: h for t, h in df.select("text", "text_hash").distinct().collect()}
+    order = sorted(docs, key=lambda d: (d["doc_id"] is None, d["doc_id"] or 0, hashes[d["text"]]))
+    count = lambda rows: sorted(map(repr, rows))
+    followed = [(d["doc_id"], d["text"], n["text"]) for d, n in zip(order, [*order[1:], order[0]])]
+    got = fingerprints.with_next_text(df.drop("text_hash")).filter("guard = 0").select("doc_id", "text", "next_text").collect()
+    assert count(tuple(r) for r in got) == count(followed)
+
+    files = token_files.write_files(df.drop("text_hash"), tokens.vocabulary("word_bpe_49k.json"), 2)
+    read = sorted(token_files.read_files(spark, files).collect(), key=lambda r: r["start"])
+    encode = tokens.encoder(tokens.vocabulary("word_bpe_49k.json")).encode
+    at = 0
+    for r, d in zip(read, order, strict=True):
+        assert (r["doc_id"], r["start"]) == (d["doc_id"], at) and len(r["ids"]) // 4 == len(encode([d["text"]])[0]) // 2 + 1
+        at += len(r["ids"]) // 4
+
+
+def test_rows_that_are_no_files_are_written_before_they_are_dealt(spark):
+    df = spark.range(600).select(F.lit(5).cast("long").alias("doc_id"), F.lit("x").alias("text"), F.lit(1).cast("long").alias("text_hash"))
+    cut = common.order_buckets(df, 12)
+    assert cut.columns == ["doc_id", "text", "text_hash", "r", "sub"]
+    assert cut.groupBy("r", "sub").count().agg(F.max("count"), F.sum("count")).first()[:] <= (50, 600)
