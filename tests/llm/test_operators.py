@@ -78,13 +78,28 @@ def test_op4_lm_scoring(spark, folder, docs):
             c.update(t)
             b.update(zip([" ", *t], t))
             texts += 1
-    n, v, d, m = sum(c.values()), len(c), lm_scoring.DISCOUNT, lm_scoring.PRIOR
+    n, v, d = sum(c.values()), len(c), lm_scoring.DISCOUNT
+    seen = lambda h: c[h] if h != " " else texts
+
+    def left_out(prior):
+        """log10 likelihood of the training tokens, each scored without itself."""
+        total = 0.0
+        for (h, w), k in b.items():
+            m = prior[0] * max(seen(h) - 1, 1) ** prior[1]
+            q = (c[w] - 1 - d) / (n - 1) if c[w] > 1 else d * v / n
+            total += k * math.log10((b[h, w] - 1 + m * q) / (seen(h) - 1 + m))
+        return total
+
+    best, power = max(lm_scoring.PRIORS, key=left_out)
     p = lambda w: (c[w] - d) / n if c[w] else d * v / n
     assert abs(sum(p(w) for w in c) + d * v / n - 1) < 1e-9
     want = []
     for i, t in tokens:
         base = sum(math.log10((c[w] + 1) / (n + v + 1)) for w in t)
-        s = sum(math.log10((b[h, w] + m * p(w)) / ((c[h] if h != " " else texts) + m)) for h, w in zip([" ", *t], t))
+        s = 0.0
+        for h, w in zip([" ", *t], t):
+            m = best * max(seen(h), 1) ** power
+            s += math.log10((b[h, w] + m * p(w)) / (seen(h) + m))
         want.append((key({"doc_id": i}), out(i), len(t), sum(c[w] > 0 for w in t), n, round(base, 5), round(s, 5)))
     got = [(key(r), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5), round(r["score"], 5))
            for r in rows]
