@@ -12,9 +12,9 @@ text carries the state and adds up log10 probabilities.
 
 Both sum to one.  N and V count training tokens and distinct ones.  The prior
 weighs more after a frequent context, which goes on with more different words.
-``a`` and ``b`` are the grid point that gives the training tokens of at most
-``FIT_BLOCKS`` blocks the highest likelihood, each token scored by the counts
-of all training documents less itself (leave one out).
+``a`` and ``b`` are the grid point that gives all training tokens the highest
+likelihood, each token scored by the counts of all training documents less
+itself (leave one out).
 
 The whole model would not fit a task, and no text needs it whole.  Documents
 are read into blocks, each holding its words as 64-bit hashes and its texts as
@@ -22,8 +22,10 @@ numbers into them (written once).  A block sends its sorted n-gram keys and own
 counts, cut into buckets by key, through one shuffle; each bucket adds up the
 counts of equal keys and returns to every block the totals of exactly the keys
 it sent, in the order it sent them.  With those a block has the part of the
-automaton its texts can reach.  A block's and a bucket's size are bounded
-whatever the corpus; a frequent n-gram is one key a block.
+automaton its texts can reach.  They meet its texts twice: for its share of the
+likelihood at every grid point (the shares are added up), and for the scores.
+A block's and a bucket's size are bounded whatever the corpus; a frequent
+n-gram is one key a block.
 
 Defined cases: a null or empty text is just the end token.  Null doc_ids count
 as training rows (the crc32 of no text).  Repeated rows count and score as
@@ -50,7 +52,6 @@ MODULUS, HELD_OUT = 7, 2
 BLOCK_CHARS = 4_000_000  # of text in a block (or one document)
 BUCKET_TOKENS = 2_000_000  # tokens of the corpus for each bucket
 DISCOUNT = 0.75
-FIT_BLOCKS = 16  # whose tokens pick the prior
 PRIORS = [(a, b) for b in (0.0, 0.5, 0.6, 0.7, 0.8, 0.9) for a in (0.5, 1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 128.0)]
 UNIGRAMS, BIGRAMS = 0, 1
 # Keys of the end token and of the start context; no word holds a space.
@@ -226,24 +227,33 @@ def _left_out(n: int, v: int, docs: int, discount: float, priors: list[tuple[flo
             words, bigrams = _totals(returned)
             own = np.flatnonzero(block.bigram_counts)
             context, word = np.divmod(block.pairs[own], block.start + 1)
-            times, c = block.bigram_counts[own], bigrams[own] - 1
-            seen = np.append(words, docs)[context] - 1
-            p = np.where(words[word] > 1, (words[word] - 1 - discount) / max(n - 1, 1), discount * v / n if n else 1.0)
-            weights = (prior_weight(seen, prior) for prior in priors)
-            rows.append({"block": row["block"], "likelihoods": [float(times @ np.log10((c + m * p) / (seen + m))) for m in weights]})
-        return pa.Table.from_pylist(rows, pa.schema([("block", pa.int64()), ("likelihoods", pa.list_(pa.float64()))]))
+            seen, nth = np.unique(np.append(words, docs)[context] - 1, return_inverse=True)
+            times, c = block.bigram_counts[own].astype(float), bigrams[own] - 1.0
+            p = np.where(words > 1, (words - 1 - discount) / max(n - 1, 1), discount * v / n if n else 1.0)[word]
+            # log10 of (c + m * p) / (seen + m): m and the divisor depend on ``seen`` alone, so does m * p over p where c is 0.
+            all_times = np.bincount(nth, times)
+            again = c > 0
+            alone = np.bincount(nth[~again], times[~again], len(seen))
+            fixed = times[~again] @ np.log10(p[~again])
+            times, c, p, nth = times[again], c[again], p[again], nth[again]
+            likelihoods = []
+            for prior in priors:
+                m = prior_weight(seen, prior)
+                # In this order what m does not change is equal to the last bit.
+                shared = alone @ np.log10(m) - all_times @ np.log10(seen + m)
+                likelihoods.append(float(fixed + shared + times @ np.log10(c + m[nth] * p)))
+            rows.append({"likelihoods": likelihoods})
+        return pa.Table.from_pylist(rows, pa.schema([("likelihoods", pa.list_(pa.float64()))]))
 
     return run
 
 
 def fit_prior(blocks: DataFrame, totals: DataFrame, n: int, v: int, docs: int, discount: float) -> tuple[float, float]:
-    """The prior of ``PRIORS`` that is likeliest on at most ``FIT_BLOCKS`` blocks, those with the smallest hashes."""
-    chosen = [r["block"] for r in blocks.filter("train_docs > 0").select("block").orderBy(F.xxhash64("block"), "block").limit(FIT_BLOCKS).collect()]
-    some = lambda df: df.filter(F.col("block").isin(chosen)).groupBy("block")
-    found = some(blocks).cogroup(some(totals)).applyInArrow(
-        _left_out(n, v, docs, discount, PRIORS), "block bigint, likelihoods array<double>").collect()
-    sums = np.sum([r["likelihoods"] for r in sorted(found, key=lambda r: r["block"])] or np.zeros((1, len(PRIORS))), axis=0)
-    return PRIORS[int(np.argmax(sums))]
+    """The prior of ``PRIORS`` under which the training tokens of all blocks are likeliest."""
+    found = blocks.filter("train_docs > 0").groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
+        _left_out(n, v, docs, discount, PRIORS), "likelihoods array<double>")
+    sums = found.agg(*[F.sum(F.col("likelihoods")[i]).alias(f"prior_{i}") for i in range(len(PRIORS))]).first()
+    return PRIORS[int(np.argmax([x or 0.0 for x in sums]))]
 
 
 # ---------------------------------------------------------------- the automaton

@@ -13,10 +13,12 @@ import pyarrow.parquet as pq
 import pytest
 import xxhash
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 from tables import awkward, some_labels, write
 from tokenizers import Tokenizer
 
 from shopsignal.llm import lm_scoring, packing
+from shopsignal.llm.common import ship_package
 from shopsignal.llm.queries import ORACLE, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -106,6 +108,19 @@ def test_op4_lm_scoring(spark, folder, docs):
     assert sorted(want) == sorted(got)
 
 
+def test_op4_prior_is_fitted_on_the_training_tokens_of_all_blocks(spark):
+    # One text in 48 is long and has no order, and the others are one sentence: what the prior is hangs on that text's block.
+    rng = random.Random(4)
+    sentence, mixed = "a b c d e f g h i j", " ".join(rng.choices("abcdefghij", k=4000))
+    ship_package(spark)
+    for odd in (5, 25, 45):
+        docs = lambda parts: spark.range(0, 48, 1, parts).select(
+            F.col("id").alias("doc_id"), F.when(F.col("id") == odd, mixed).otherwise(sentence).alias("text"))
+        # 48 blocks, and one that holds all.
+        many, one = ({r["doc_id"]: round(r["score"], 5) for r in lm_scoring.score(docs(parts)).collect()} for parts in (48, 1))
+        assert len(many) == 48 and many == one
+
+
 def test_op5_best_fit_packing(spark, folder, docs):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = result(spark, folder, 5)
